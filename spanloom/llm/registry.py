@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
-from spanloom.llm import secret_scan
+import os
+
+from spanloom.llm import secret_scan, token_counts
 from spanloom.llm.common import table
 
+#: Where the vocabulary files of public tokenizers are.
+TOKENIZERS = os.environ.get("TOKENIZER_FILES", "")
+
+
+def vocabulary(name: str) -> str:
+    """The place of a vocabulary file, by the package that brings them unless a folder is set."""
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 QUERIES = {
     "op2_secret_scan": lambda spark, sf_dir: secret_scan.digest(table(spark, sf_dir, "documents")),
+    "op9_token_counts": lambda spark, sf_dir: token_counts.digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")),
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -27,9 +28,27 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    released(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps now, not when the driver's heap fills."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def one_per_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text) with null ids left out, null texts empty, and of rows that repeat an id the least text.
+
+    The texts are only shuffled if some id is repeated.
+    """
+    rows = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if rows.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"))
+    return rows
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (u, v long): one row (id, component) per vertex that has an edge.
 

@@ -56,20 +56,18 @@ class Hasher:
 
 
 def leftmost_minima(h: np.ndarray, width: int) -> np.ndarray:
-    """For each window of ``width`` values of ``h``, the place of its leftmost minimum."""
+    """For each window of ``width`` values of ``h``, the place of its leftmost minimum (by the upper 40 bits)."""
     n = len(h) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    low, place, span = h, np.arange(len(h)), 1
-    def join(low, place, low2, place2):
-        right = low2 < low
-        return np.where(right, low2, low), np.where(right, place2, place)
+    below = U((1 << 24) - 1)
+    if len(h) > int(below):
+        raise ValueError("at most 2**24 values at once")
+    # The place stands in the lower bits, so that one minimum finds both.
+    low, span = (h & ~below) | np.arange(len(h), dtype=np.uint64), 1
     while span * 2 <= width:
-        m = len(low) - span
-        low, place = join(low[:m], place[:m], low[span:], place[span:])
+        low = np.minimum(low[:-span], low[span:])
         span *= 2
-    rest = width - span
-    if rest:
-        m = len(low) - rest
-        low, place = join(low[:m], place[:m], low[rest:], place[rest:])
-    return place
+    if width > span:
+        low = np.minimum(low[: span - width], low[width - span :])
+    return (low & below).astype(np.int64)

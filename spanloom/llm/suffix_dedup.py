@@ -133,28 +133,24 @@ def _first_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     gram0, stretch0, waiting = None, None, None
     for batch in batches:
         gram, stretch, doc, at, heavy = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(5))
-        if not len(gram):
-            continue
-        same_gram = np.r_[gram[0] == gram0, gram[1:] == gram[:-1]].astype(bool)
-        same = same_gram & np.r_[stretch[0] == stretch0, stretch[1:] == stretch[:-1]].astype(bool)
-        mark = same | (at & 1 == 1)
-        kept = ~same
-        # A kept stretch is needed if its q-gram has another: it isn't the q-gram's first, or the next kept one is of the same.
-        at_kept = np.flatnonzero(kept)
-        needed = np.zeros(len(gram), bool)
-        needed[at_kept] = same_gram[at_kept]
-        follow = at_kept[1:][same_gram[at_kept[1:]]]
-        before = at_kept[:-1][same_gram[at_kept[1:]]]
-        needed[follow] = True
-        needed[before] = True
-        needed |= kept & heavy.astype(bool)  # those of a heavy q-gram are dealt out apart
-        out = [(gram[mark], doc[mark], at[mark] | 1, heavy[mark]), (gram[needed], doc[needed], at[needed], heavy[needed])]
-        if waiting is not None and len(at_kept) and same_gram[at_kept[0]] and gram[at_kept[0]] == waiting[0]:
-            out.append(tuple(np.array([v]) for v in waiting))
-        if len(at_kept):
-            end = at_kept[-1]
-            waiting = None if needed[end] else (gram[end], doc[end], at[end], heavy[end])
-        gram0, stretch0 = gram[-1], stretch[-1]
+        sure = at & 1 == 1  # known since the task that entered them
+        out = [(gram[sure], doc[sure], at[sure], heavy[sure])]
+        gram, stretch, doc, at, heavy = (x[~sure] for x in (gram, stretch, doc, at, heavy))
+        if len(gram):
+            same_gram = np.r_[gram[0] == gram0, gram[1:] == gram[:-1]].astype(bool)
+            same = same_gram & np.r_[stretch[0] == stretch0, stretch[1:] == stretch[:-1]].astype(bool)
+            # A kept stretch is needed if its q-gram has another: it isn't the q-gram's first, or the next kept one is of the same.
+            kept = np.flatnonzero(~same)
+            needed = np.zeros(len(gram), bool)
+            needed[kept] = same_gram[kept] | heavy[kept].astype(bool)  # those of a heavy q-gram are dealt out apart
+            needed[kept[:-1][same_gram[kept[1:]]]] = True
+            out += [(gram[same], doc[same], at[same] | 1, heavy[same]), (gram[needed], doc[needed], at[needed], heavy[needed])]
+            if len(kept):
+                if waiting is not None and gram[kept[0]] == waiting[0]:
+                    out.append(tuple(np.array([v]) for v in waiting))
+                end = kept[-1]
+                waiting = None if needed[end] else (gram[end], doc[end], at[end], heavy[end])
+            gram0, stretch0 = gram[-1], stretch[-1]
         cols = [np.concatenate(x) for x in zip(*out, strict=True)]
         yield from _batches(dict(zip(schema.names, cols, strict=True)), schema)
 
@@ -289,7 +285,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     most = max(HEAVY, total // 1_000_000)
     heavy = frozenset(r["gram"] for r in counted.where((F.col("stretch") == 0) & (F.col("n") >= most // 2)).select("gram").collect())
     entered = docs.mapInArrow(_enter(length, heavy), _ROW)
-    salt = F.when(F.col("heavy"), F.col("stretch")).otherwise(F.lit(0))
+    # Repeats that the entering task has found already only pass through: they go by document.
+    salt = F.when(F.col("at").bitwiseAND(F.lit(1)) == 1, F.col("doc")).when(F.col("heavy"), F.col("stretch")).otherwise(F.lit(0))
     found = written(
         entered.repartition("gram", salt).sortWithinPartitions("gram", "stretch", "doc", "at").mapInArrow(_first_buckets, "gram long, doc long, at long, heavy boolean")
         .union(entered.sparkSession.createDataFrame([], "gram long, doc long, at long, heavy boolean"))

@@ -82,8 +82,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setting
     if item.limit(s.broadcast + 1).count() <= s.broadcast:
         item = F.broadcast(item)
     seen = _windows(_hashed(docs, "text", ["doc_id"]), masks, ["doc_id"])
-    hits = seen.join(item, "seed").withColumn("start", F.col("at") - F.col("item_at"))
-    agrees = F.transform(F.sequence(F.lit(0), F.col("item_n") - 1), lambda k: F.coalesce((F.when(F.col("start") + k >= 0, F.get(F.col("__h"), F.col("start") + k)) == F.get(F.col("item_h"), k)).cast("int"), F.lit(0)))
+    # Only the words beside the item leave the stage that looks up the hashes; each alignment then goes on once.
+    start = F.col("at") - F.col("item_at")
+    beside = F.slice("__h", F.greatest(start, F.lit(0)) + 1, F.greatest(F.col("item_n") + F.least(start, F.lit(0)), F.lit(0)))
+    hits = seen.join(item, "seed").select("doc_id", "item_id", start.alias("start"), "item_h", "item_n", beside.alias("beside"))
+    hits = hits.groupBy("doc_id", "item_id", "start", F.xxhash64("beside").alias("print")).agg(*(F.first(c).alias(c) for c in ("item_h", "item_n", "beside")))
+    late = F.greatest(-F.col("start"), F.lit(0))
+    agrees = F.transform(F.sequence(F.lit(0), F.col("item_n") - 1), lambda k: F.coalesce((F.when(k >= late, F.get(F.col("beside"), k - late)) == F.get(F.col("item_h"), k)).cast("int"), F.lit(0)))
     hits = hits.select("doc_id", "item_id", "start", "item_n", agrees.alias("agrees"))
     size = F.least(F.lit(s.stretch), F.col("item_n"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from spanloom.llm import chat_format, decontamination, embedding_dedup, language_id, minhash_dedup, secret_scan, suffix_dedup, token_counts
+from spanloom.llm import chat_format, decontamination, embedding_dedup, language_id, line_templates, minhash_dedup, secret_scan, suffix_dedup, token_counts
 from spanloom.llm.common import table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -26,11 +26,13 @@ QUERIES = {
     "op4_language_id": lambda spark, sf_dir: language_id.digest(table(spark, sf_dir, "documents")),
     "op5_chat_format": lambda spark, sf_dir: chat_format.digest(table(spark, sf_dir, "conversations"), vocabulary("byte_bpe_50k.json")),
     "op6_embedding_dedup": lambda spark, sf_dir: embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")),
+    "op7_line_templates": lambda spark, sf_dir: line_templates.digest(table(spark, sf_dir, "documents")),
     "op8_decontamination": lambda spark, sf_dir: decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op9_token_counts": lambda spark, sf_dir: token_counts.digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")),
     "op10_suffix_dedup": lambda spark, sf_dir: suffix_dedup.digest(table(spark, sf_dir, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_line_templates": lambda spark, sf_dir: line_templates.digest(table(spark, sf_dir, "documents")),
     "op8_decontamination": decontamination.ORACLE_SQL,
 }

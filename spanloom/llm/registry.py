@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from spanloom.llm import chat_format, decontamination, embedding_dedup, language_id, line_templates, minhash_dedup, secret_scan, suffix_dedup, token_counts
+from spanloom.llm import chat_format, decontamination, embedding_dedup, language_id, line_templates, minhash_dedup, mixing, secret_scan, suffix_dedup, token_counts
 from spanloom.llm.common import table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -23,6 +23,7 @@ def vocabulary(name: str) -> str:
 QUERIES = {
     "op1_minhash_dedup": lambda spark, sf_dir: minhash_dedup.near_duplicates(table(spark, sf_dir, "documents")),
     "op2_secret_scan": lambda spark, sf_dir: secret_scan.digest(table(spark, sf_dir, "documents")),
+    "op3_mixing": lambda spark, sf_dir: mixing.digest(table(spark, sf_dir, "documents")),
     "op4_language_id": lambda spark, sf_dir: language_id.digest(table(spark, sf_dir, "documents")),
     "op5_chat_format": lambda spark, sf_dir: chat_format.digest(table(spark, sf_dir, "conversations"), vocabulary("byte_bpe_50k.json")),
     "op6_embedding_dedup": lambda spark, sf_dir: embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings")),
@@ -34,5 +35,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op7_line_templates": lambda spark, sf_dir: line_templates.digest(table(spark, sf_dir, "documents")),
+    "op3_mixing": mixing.ORACLE_SQL,
     "op8_decontamination": decontamination.ORACLE_SQL,
 }

@@ -76,9 +76,9 @@ def without_prefix(text: Column) -> Column:
         t = F.regexp_replace(t, r"(?U)^\s+|\s+\z", "")
         return F.regexp_replace(t, rf"^{marks}+|{marks}+\z", "")
 
-    # Each round but the last takes an abbreviation or a mark off, with a blank or up to the end.
+    # Each round but the first and the last takes an abbreviation off that stands before a blank or the end.
     def all_(t: Column) -> Column:
-        rounds = F.sequence(F.lit(1), F.length(t) - F.length(F.replace(t, F.lit(" "), F.lit(""))) + 3)
+        rounds = F.sequence(F.lit(1), F.regexp_count(t, F.lit(rf"(?iu)(?:{short})(?=(?U)\s|\z)")) + 2)
         return F.aggregate(rounds, t, lambda acc, _: step(acc))
 
     return let(text, all_)

@@ -26,11 +26,11 @@ def chain(max_tokens: int = 512, overlap_ratio: float = 0.0, min_confidence: flo
     out["chunk"] = f"""SELECT c.doc_id, c.chunk_id, c.total_chunks, coalesce(min(i.start), 0)::INT AS global_start, coalesce(max(i."end"), 0)::INT AS global_end, (count(i.tok) + {SPECIALS})::INT AS token_count,
       substring(c.document, coalesce(min(i.start), 0) + 1, coalesce(max(i."end") - min(i.start), 0)) AS text, c.document
       FROM cell c LEFT JOIN inside i USING (doc_id, chunk_id) GROUP BY c.doc_id, c.chunk_id, c.total_chunks, c.document"""
-    out["cap"] = """SELECT i.doc_id, i.chunk_id, i.word, i.tok, i.start - c.global_start AS at, c.global_start,
+    out["cap"] = """SELECT i.doc_id, i.chunk_id, i.word, i.tok, i.start - c.global_start AS pos, c.global_start,
       CASE WHEN regexp_matches(i.word, '^\\p{Lu}') THEN (['PER', 'LOC', 'ORG', 'DATE'])[length(i.word) % 4 + 1] END AS kind FROM inside i JOIN chunk c USING (doc_id, chunk_id)"""
     out["capped"] = "SELECT *, lag(kind) OVER (PARTITION BY doc_id, chunk_id ORDER BY tok) AS before FROM cap"
     out["part"] = f"SELECT *, unnest(range(0, length(word), {PIECE}))::INT AS k FROM capped WHERE kind IS NOT NULL"
-    out["scored"] = f"""SELECT doc_id, chunk_id, global_start, at + k AS s, substring(word, k + 1, {PIECE}) AS piece, k,
+    out["scored"] = f"""SELECT doc_id, chunk_id, global_start, pos + k AS s, substring(word, k + 1, {PIECE}) AS piece, k,
       CASE WHEN k > 0 OR coalesce(before, '') = kind THEN 'I-' ELSE 'B-' END || kind AS label FROM part"""
     out["pred"] = f"""SELECT doc_id, chunk_id, (row_number() OVER (PARTITION BY doc_id, chunk_id ORDER BY s) - 1)::INT AS idx, label, ((s * 31 + length(piece) * 17) % 1000) / 1000.0::DOUBLE AS score,
       CASE WHEN k = 0 THEN '{MARK}' ELSE '' END || piece AS word, s::INT AS start, (s + length(piece))::INT AS "end", global_start FROM scored"""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from spanloom.functions.chars import ABBREVIATIONS, BRACKETS, DOTTED, PAIRS, PUNCTUATION, PUNCTUATION_END, char_class, let
 
 #: Stands for a dot that belongs to a word while ends are stripped; private use, so no text holds it by then.
-_DOT = ""
+_DOT = "\ue000"
 #: Texts of these characters alone are their own compatibility form.
 _STABLE = r"^[\x00-\x7F\x{AB}\x{BB}\x{C0}-\x{FF}\x{401}\x{410}-\x{44F}\x{451}–—“”„‟]*\z"
 
@@ -76,9 +76,12 @@ def without_prefix(text: Column) -> Column:
         t = F.regexp_replace(t, r"(?U)^\s+|\s+\z", "")
         return F.regexp_replace(t, rf"^{marks}+|{marks}+\z", "")
 
-    # Each round but the first and the last takes an abbreviation off that stands before a blank or the end.
+    # Each round but the first and the last takes an abbreviation off that stands before a blank or the end, or a
+    # mark that stands beside a blank.
+    turns = rf"(?iu)(?:{short})(?=(?U)\s|\z)|{marks}(?=(?U)\s)|(?<=(?U)\s){marks}"
+
     def all_(t: Column) -> Column:
-        rounds = F.sequence(F.lit(1), F.regexp_count(t, F.lit(rf"(?iu)(?:{short})(?=(?U)\s|\z)")) + 2)
+        rounds = F.sequence(F.lit(1), F.regexp_count(t, F.lit(turns)) + 2)
         return F.aggregate(rounds, t, lambda acc, _: step(acc))
 
     return let(text, all_)

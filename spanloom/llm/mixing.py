@@ -43,8 +43,7 @@ class Settings:
 
 
 def token_count(text: Column) -> Column:
-    spaced = F.split(F.translate(F.coalesce(text, F.lit("")), "\t\n\r\f\u000b", "     "), " ")
-    return F.size(F.array_remove(spaced, "")).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^ \t\n\r\f\x0B]++")).cast("long")
 
 
 def domain(source: Column, settings: Settings) -> Column:
@@ -103,7 +102,9 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` (doc_id, text, lang, source, ...) as taken, with columns domain, n_tokens and epoch (from 0) after the others."""
     s = settings
     own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch")]
-    rows = docs.select(*own, domain(F.col("source"), s).alias("domain"), token_count(F.col("text")).alias("n_tokens")).where("n_tokens > 0")
+    base = docs.select(*own, domain(F.col("source"), s).alias("domain"))
+    # Tokens are counted once into a narrow table, and again only for what is taken.
+    rows = written(base.select("doc_id", *LEVELS, token_count(F.col("text")).alias("n_tokens")).where("n_tokens > 0"))
     spot = lambda epoch: F.md5(F.concat_ws(":", F.lit(s.seed), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     leaves = budgets(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), s)
     # Whole epochs, and the tokens to take of the one after them.
@@ -117,7 +118,7 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         return left.join(right, on[0] & on[1] & on[2])
 
     known = F.broadcast(leaves) if leaves.limit(s.leaves + 1).count() <= s.leaves else leaves
-    bins = joined(rows.select("doc_id", *LEVELS, "n_tokens"), known).withColumn("__bin", F.substring(spot(F.col("__whole")), 1, s.digits))
+    bins = joined(rows, known).withColumn("__bin", F.substring(spot(F.col("__whole")), 1, s.digits))
     bins = bins.groupBy(*leaf, "__whole", "__rest", "__bin").agg(F.sum("n_tokens").alias("__tokens"))
     before = Window.partitionBy(*leaf).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("__before", F.coalesce(F.sum("__tokens").over(before), F.lit(0)))
@@ -126,13 +127,14 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     plan = leaves.alias("p").join(cut.select(*(F.col(c).alias(f"{c}_") for c in leaf), "__cut"), (F.col("__domain").eqNullSafe(F.col("__domain_"))) & F.col("__lang").eqNullSafe(F.col("__lang_")) & F.col("__source").eqNullSafe(F.col("__source_")), "left").select(*leaf, "__whole", "__cut")
     plan = written(plan)
     plan = F.broadcast(plan) if plan.limit(s.leaves + 1).count() <= s.leaves else plan
-    at = joined(rows, plan).withColumn("__spot", spot(F.col("__whole"))).withColumn("__bin", F.substring("__spot", 1, s.digits))
+    at = joined(base, plan).withColumn("__spot", spot(F.col("__whole"))).withColumn("__bin", F.substring("__spot", 1, s.digits))
 
     epochs = F.when(F.col("__whole") > 0, F.sequence(F.lit(0), F.col("__whole") - 1)).otherwise(F.array().cast("array<int>"))
     sure = F.when(F.col("__bin") < F.col("__cut.__bin"), F.concat(epochs, F.array("__whole"))).otherwise(epochs)
     columns = [*own, "domain", "n_tokens"]
-    taken = at.select(*columns, F.explode(sure).alias("epoch"))
-    last = at.where(F.col("__bin") == F.col("__cut.__bin"))
+    counted = lambda where: F.when(where, token_count(F.col("text"))).alias("n_tokens")
+    taken = at.withColumn("__sure", sure).select(*own, "domain", "__sure", counted(F.size("__sure") > 0)).where("n_tokens > 0").select(*columns, F.explode("__sure").alias("epoch"))
+    last = at.select(*own, "domain", "__spot", "__whole", "__cut", counted(F.col("__bin") == F.col("__cut.__bin"))).where("n_tokens > 0")
     order = Window.partitionBy(*LEVELS).orderBy("__spot", "doc_id", "text").rowsBetween(Window.unboundedPreceding, -1)
     last = last.withColumn("__before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where(F.col("__before") < F.col("__cut.__take"))
     return taken.union(last.select(*columns, F.col("__whole").alias("epoch")))

@@ -6,6 +6,8 @@ import gc
 import tempfile
 import uuid
 
+import numpy as np
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,3 +78,17 @@ def components(edges: DataFrame) -> DataFrame:
         before = after
     ids = now.select(F.col("x").alias("id"), F.col("m").alias("component"))
     return ids.union(now.select(F.col("m").alias("id"), F.col("m").alias("component"))).distinct()
+
+
+def forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """For links between places x and y of n: the least place of each place's component."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        for at in (x, y, label[x], label[y]):
+            np.minimum.at(new, at, low)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import components, written
+from spanloom.llm.common import components, forest, written
 
 
 @dataclass(frozen=True)
@@ -139,7 +139,7 @@ def _joined(s: Settings):
         x, y = (np.concatenate(c) for c in zip(*found, strict=True))
         if not len(x):
             return empty
-        label = _forest(len(rep), x, y)
+        label = forest(len(rep), x, y)
         touched = np.unique(np.r_[x, y])
         counted = np.flatnonzero(links)
         return pa.table({"rep": np.r_[rep[counted], rep[touched]], "links": np.r_[links[counted], np.zeros(len(touched), np.int64)], "other": np.r_[rep[counted], rep[label[touched]]]})
@@ -147,22 +147,6 @@ def _joined(s: Settings):
     return run
 
 
-def _forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The least place of each place's component."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, x, low)
-        np.minimum.at(new, y, low)
-        np.minimum.at(new, label[x], low)
-        np.minimum.at(new, label[y], low)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
-
-
 def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each vector of ``vectors`` (vec_id, embedding, label)."""
     s = settings

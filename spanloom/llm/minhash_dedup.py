@@ -9,11 +9,16 @@ the tables are all pairs of one band from either, so ``tables ** 2`` tables cost
 pair of similarity 0.75 misses all of them with a chance of 2 * (1 - 0.75 ** 3) ** 20 = 3.5e-5. Keys of the
 first collection that only one set has are dropped before the second one is multiplied in.
 
-Groups: documents with equal sets are one class, stood for by its smallest id. In a bucket the members are
-first compared with one pivot; buckets whose members have all met in one component are finished. Only members of
-different components are then compared with each other, and in buckets of more than ``split`` members only if
-a band of a third collection agrees too (the same chance of a miss once more). Components come from star
-contraction over written tables. No bucket, class or component is gathered in one task or capped.
+Groups: documents with equal sets are one class, stood for by its smallest id. Of each bucket the member that
+meets the most others is the pivot, and each set is first compared with the pivot that it meets most often. The
+sets that share half of the union with it, or more, are its *family*; other sets are families of their own. A bucket whose
+members have met in one component or are of one family is finished; of the others, those with more than ``split``
+families go on only as far as a band of a third collection agrees too (the same chance of a miss once more). What
+is left gives the pairs of families between which links may be missing. Each family is compared with all smaller ones
+that it is paired with, and with itself if it is not one component yet, in tiles of ``tile`` documents a side,
+where intersections are counted without a pair being emitted; a tile gives a spanning forest of its links.
+Components come from star contraction over written tables. No bucket, class, family or component is gathered in
+one task or capped.
 
 Rows of a null doc_id are left out, rows that repeat an id count as the one with the least text, null texts are
 empty; further columns are passed over.
@@ -30,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import components, one_per_id, written
+from spanloom.llm.common import components, forest, one_per_id, written
 from spanloom.llm.rolling import Hasher, U, mix
 
 
@@ -41,6 +46,7 @@ class Settings:
     rows: int = 3
     tables: int = 20
     split: int = 64
+    tile: int = 256
     seed: int = 5
 
 
@@ -131,35 +137,78 @@ def _sketch(s: Settings):
     return run
 
 
-def _confirm(width: int, share: int):
-    """Pairs (u, v, text of u, text of v) whose sets are similar enough."""
+def _weigh(width: int):
+    """Pairs (u, v, text of u, text of v) with the sizes of the intersection and the union of their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: OrderedDict[int, set[bytes]] = OrderedDict()  # of the last few u
 
         for batch in batches:
-            us, vs = [], []
-            for u, v, tu, tv in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+            common, union = [], []
+            for u, tu, tv in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if u not in kept:
                     kept[u] = shingle_set(tu.as_py(), width)
                     if len(kept) > 8:
                         kept.popitem(last=False)
                 one, other = kept[u], shingle_set(tv.as_py(), width)
-                both = len(one & other)
-                if 100 * both >= share * (len(one) + len(other) - both):
-                    us.append(u)
-                    vs.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+                common.append(len(one & other))
+                union.append(len(one) + len(other) - common[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(union, pa.int64())], names=["u", "v", "common", "union"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Pairs (u, v) that are links; u, of which many pairs may share one, is looked up last."""
+def _weighed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Pairs (u, v) with common and union; u, of which many pairs may share one, is looked up last."""
     v = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("v_text"))
     u = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("u_text"))
-    rows = pairs.select("u", "v").distinct().join(v, "v").join(u, "u").select("u", "v", "u_text", "v_text")
-    return written(rows.mapInArrow(_confirm(s.width, s.share), "u long, v long"))
+    rows = pairs.join(v, "v").join(u, "u").select("u", "v", "u_text", "v_text")
+    return written(rows.mapInArrow(_weigh(s.width), "u long, v long, common long, union long"))
+
+
+def _compared(s: Settings):
+    """One tile: links between sets of different components, as (u, v) of a spanning forest."""
+    none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+
+    def run(tile: pa.Table) -> pa.Table:
+        left = tile.column("left").to_numpy()
+        one, other = np.flatnonzero(left), np.flatnonzero(~left)
+        if not len(one) or not len(other):
+            return none
+        rep, component = tile.column("rep").to_numpy(), tile.column("component").to_numpy()
+        doc, h = _hashed([t.as_buffer().to_pybytes() for chunk in tile.column("text").chunks for t in chunk], s.width)
+        size = np.bincount(doc, minlength=len(rep))
+        _, column = np.unique(h, return_inverse=True)
+        # Only shingles on both sides count for intersections; they are taken some columns at a time.
+        both = np.bincount(column, weights=left[doc]) * np.bincount(column, weights=~left[doc]) > 0
+        number = np.cumsum(both) - 1
+        use = both[column]
+        doc, column = doc[use], number[column[use]]
+        order = np.argsort(column, kind="stable")
+        doc, column = doc[order], column[order]
+        row = np.empty(len(rep), np.int64)
+        row[one], row[other] = np.arange(len(one)), np.arange(len(other))
+        common = np.zeros((len(one), len(other)))
+        step = 4096
+        for start in range(0, int(both.sum()), step):
+            at = slice(*np.searchsorted(column, [start, start + step]))
+            d, c = doc[at], column[at] - start
+            a, b = np.zeros((len(one), step), np.float32), np.zeros((len(other), step), np.float32)
+            a[row[d[left[d]]], c[left[d]]] = 1
+            b[row[d[~left[d]]], c[~left[d]]] = 1
+            common += a @ b.T
+        union = size[one][:, None] + size[other][None] - common
+        linked = (100 * common >= s.share * union) & (component[one][:, None] != component[other][None])
+        x, y = np.nonzero(linked)
+        if not len(x):
+            return none
+        x, y = one[x], other[y]
+        label = forest(len(rep), x, y)
+        touched = np.unique(np.r_[x, y])
+        touched = touched[label[touched] != touched]
+        return pa.table({"u": rep[label[touched]], "v": rep[touched]})
+
+    return run
 
 
 def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -168,10 +217,45 @@ def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def _mixed(rows: DataFrame, key: str) -> DataFrame:
-    """Rows of buckets that hold more than one component, with the bucket's pivot and size."""
-    bucket = rows.groupBy(key).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("pivot"), F.count("*").alias("members"))
-    return rows.join(bucket.where("low < high").select(key, "pivot", "members"), key)
+def _met(rows: DataFrame) -> DataFrame:
+    """(key, family, low, high) of rows (key, rep, component, family): the families of each bucket, and their components' range."""
+    return rows.groupBy("key", "family").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+
+
+def _open(met: DataFrame) -> DataFrame:
+    """(key, families) of the buckets with several components and several families."""
+    bucket = met.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("families"))
+    return bucket.where("low < high AND families > 1").select("key", "families")
+
+
+def _times(rows: DataFrame, sets: DataFrame, bands: str) -> DataFrame:
+    """``rows`` (key, rep, component, family) with their keys multiplied by the bands of another collection."""
+    keys = rows.groupBy("rep", "component", "family").agg(F.collect_list("key").alias("keys")).join(sets.select("rep", bands), "rep")
+    keys = keys.select("rep", "component", "family", bands, F.explode("keys").alias("key")).select(F.explode(bands).alias("band"), "key", "rep", "component", "family")
+    return keys.select(F.xxhash64("key", "band").alias("key"), "rep", "component", "family")
+
+
+def _tiles(across: DataFrame, known: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Rows of the tiles of all pairs ``across`` (f, g) of families, and of families of several components.
+
+    The larger family of a pair is dealt out on the left, the members of all that it is compared with on the right.
+    """
+    size = written(known.groupBy("family").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")))
+    of = lambda c: size.select(F.col("family").alias(c), F.struct("n", "family").alias(f"{c}_n"))
+    pairs = across.join(of("f"), "f").join(of("g"), "g")
+    larger = F.col("f_n") > F.col("g_n")
+    pairs = pairs.select(F.when(larger, F.col("f")).otherwise(F.col("g")).alias("f"), F.when(larger, F.col("g")).otherwise(F.col("f")).alias("family"))
+    pairs = pairs.union(size.where("low < high").select(F.col("family").alias("f"), "family"))
+    right = written(pairs.join(known, "family").select("f", "rep", "component"))
+    parts = right.groupBy("f").agg(F.ceil(F.count("*") / s.tile).cast("int").alias("columns"))
+    parts = written(parts.join(size.select(F.col("family").alias("f"), F.ceil(F.col("n") / s.tile).cast("int").alias("rows")), "f"))
+    text = texts.select(F.col("doc_id").alias("rep"), "text")
+    spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = known.select(F.col("family").alias("f"), "rep", "component").join(parts, "f").join(text, "rep")
+    left = left.select("f", spot("rows").alias("i"), every("columns").alias("j"), "rep", "component", F.lit(True).alias("left"), "text")
+    right = right.join(parts, "f").join(text, "rep").select("f", every("rows").alias("i"), spot("columns").alias("j"), "rep", "component", F.lit(False).alias("left"), "text")
+    return left.union(right)
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -181,37 +265,35 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     sketch = written(docs.mapInArrow(_sketch(s), _SKETCH))
     some = sketch.where("n_shingles > 0")
     classes = some.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    sets = written(some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", "a", "b", "c"))
-    # Two sizes can only be similar enough if the smaller one is ``share`` per cent of the larger or more.
-    fits = lambda x, y: 100 * F.least(x, y) >= s.share * F.greatest(x, y)
-
-    # The first collection: buckets of two sets or more.
-    first = sets.select("rep", F.explode("a").alias("ka"))
-    often = first.groupBy("ka").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
-    first = written(first.join(often.select("ka", "pivot"), "ka"))
+    sets = written(some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").select(F.col("doc_id").alias("rep"), "a", "b", "c"))
+
+    # The first collection: buckets of two sets or more, and the set of each that meets the most others.
+    first = sets.select("rep", F.explode("a").alias("key"))
+    often = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    first = written(first.join(often, "key"))
+    meets = first.groupBy("rep").agg(F.sum("n").alias("meets"), F.collect_list("key").alias("keys")).select("rep", "meets", F.explode("keys").alias("key"))
+    pivots = meets.groupBy("key").agg(F.max(F.struct("meets", (-F.col("rep")).alias("back"))).alias("p")).select("key", (-F.col("p.back")).alias("pivot"))
+    met = first.join(pivots, "key").where("rep <> pivot").groupBy("rep", "pivot").count()
+    best = met.groupBy("rep").agg(F.max(F.struct("count", (-F.col("pivot")).alias("back"))).alias("p")).select((-F.col("p.back")).alias("u"), F.col("rep").alias("v"))
     texts = written(docs.join(first.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
-    # One pivot each: the one that a set meets most often.
-    met = first.where("rep > pivot").groupBy("rep", "pivot").count()
-    best = met.groupBy("rep").agg(F.max_by("pivot", F.struct("count", -F.col("pivot"))).alias("u"))
-    links = _confirmed(best.select("u", F.col("rep").alias("v")), texts, s)
-
-    # Pairs of bands, in the buckets that aren't finished.
-    open_ = _mixed(_labelled(first.select("ka", "rep"), links), "ka").select("ka", "rep", "component")
-    tensor = written(open_.join(sets.select("rep", "n_shingles", "b"), "rep").select(F.explode("b").alias("kb"), "ka", "rep", "n_shingles", "component").select(F.xxhash64("ka", "kb").alias("key"), "rep", "n_shingles", "component"))
-    tensor = written(_mixed(tensor, "key"))
-    size = sets.select(F.col("rep").alias("pivot"), F.col("n_shingles").alias("pivot_n"))
-    stars = tensor.where("rep > pivot").select("pivot", "rep", "n_shingles").distinct().join(size, "pivot").where(fits(F.col("n_shingles"), F.col("pivot_n")))
-    links = written(links.union(_confirmed(stars.select(F.col("pivot").alias("u"), F.col("rep").alias("v")), texts, s)))
-
-    # What is left: members of different components that share a bucket, large buckets split by the third collection.
-    left = _mixed(_labelled(tensor.select("key", "rep", "n_shingles"), links), "key")
-    small = left.where(F.col("members") <= s.split).select("key", "rep", "n_shingles", "component")
-    large = left.where(F.col("members") > s.split).join(sets.select("rep", "c"), "rep").select("key", F.explode("c").alias("kc"), "rep", "n_shingles", "component")
-    large = _mixed(large.select(F.xxhash64("key", "kc").alias("key"), "rep", "n_shingles", "component"), "key").select("key", "rep", "n_shingles", "component")
-    left = written(small.union(large))
-    x, y = left.alias("x"), left.alias("y")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & fits(F.col("x.n_shingles"), F.col("y.n_shingles")))
-    links = written(links.union(_confirmed(pairs.select(F.col("x.rep").alias("u"), F.col("y.rep").alias("v")), texts, s)))
+    star = _weighed(best, texts, s)
+    links = star.where(100 * F.col("common") >= s.share * F.col("union")).select("u", "v")
+    family = star.where(2 * F.col("common") >= F.col("union")).select(F.col("v").alias("rep"), F.col("u").alias("family"))
+    known = _labelled(first.select("rep").distinct(), links).join(family, "rep", "left")
+    known = written(known.withColumn("family", F.coalesce("family", "rep")))
+
+    # Pairs of bands, in the buckets that aren't finished; those of many families split by the third collection.
+    first = written(first.select("key", "rep").join(known, "rep"))
+    tensor = written(_times(first.join(_open(_met(first)), "key"), sets, "b"))
+    met = written(_met(tensor))
+    open_ = written(_open(met))
+    large = tensor.join(open_.where(F.col("families") > s.split), "key")
+    met = written(met.join(open_.where(F.col("families") <= s.split), "key").drop("families").union(_met(_times(large, sets, "c"))))
+    x, y = met.alias("x"), met.alias("y")
+    same = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.family") < F.col("y.family")) & ~same).select(F.col("x.family").alias("f"), F.col("y.family").alias("g")).distinct()
+    more = _tiles(across, known, texts, s).groupBy("f", "i", "j").applyInArrow(_compared(s), "u long, v long")
+    links = written(links.union(more))
 
     member = _labelled(classes, links).select("f1", "f2", "component")
     ids = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("f1")).alias("f1"), F.when(F.col("n_shingles") > 0, F.col("f2")).alias("f2"))

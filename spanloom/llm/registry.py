@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from spanloom.llm import chat_format, decontamination, embedding_dedup, language_id, line_templates, minhash_dedup, mixing, secret_scan, suffix_dedup, token_counts
+from spanloom.llm import chat_format, decontamination, embedding_dedup, language_id, line_templates, minhash_dedup, mixing, oracle, secret_scan, suffix_dedup, token_counts
 from spanloom.llm.common import table
 
 #: Where the vocabulary files of public tokenizers are.
@@ -34,7 +34,10 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    "op7_line_templates": lambda spark, sf_dir: line_templates.digest(table(spark, sf_dir, "documents")),
+    "op1_minhash_dedup": oracle.MINHASH,
     "op3_mixing": mixing.ORACLE_SQL,
+    "op6_embedding_dedup": oracle.EMBEDDING,
+    "op7_line_templates": oracle.LINES,
     "op8_decontamination": decontamination.ORACLE_SQL,
+    "op10_suffix_dedup": oracle.SUFFIX,
 }

@@ -224,8 +224,8 @@ def _refined(bodies: list[bytes], doc: np.ndarray, at: np.ndarray, length: int)
         owner, within, suffix = owner[alive], within[alive], suffix[alive]
         _, final = np.unique(updated[suffix] * (longer.max() + 1) + updated[suffix + 2 * q], return_inverse=True)
         # A length that is no multiple of four has some last bytes left to tell apart.
-        if 4 * q < length:
-            _, final = np.unique(final * (ids.max() + 1) + ids[suffix + length - q], return_inverse=True)
+        for offset in range(4 * q, length, q):
+            _, final = np.unique(final * (ids.max() + 1) + ids[suffix + min(offset, length - q)], return_inverse=True)
         start = (at[owner] >> 16) + within
         order = np.lexsort((start, doc[owner], final))
         final, start, who = final[order], start[order], doc[owner][order]

@@ -57,3 +57,27 @@ o AS (SELECT doc_id, text, count(*) AS n, count(*) FILTER (WHERE gone) AS droppe
 SELECT a.doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(dropped, 0)::BIGINT AS n_dropped, coalesce(length(kept), 0)::BIGINT AS kept_chars, sha256(kept) AS text_sha256
 FROM documents a LEFT JOIN o ON a.doc_id IS NOT DISTINCT FROM o.doc_id AND a.text = o.text
 """
+
+
+def secrets() -> str:
+    """Matches, what they must hold and the text between them, for each rule; offsets are sums of lengths."""
+    from spanloom.llm.secret_scan import BASE_RULES, RULES
+
+    each = []
+    for rank, rule in enumerate(RULES):
+        pattern = ("(?i)" if rule.fold else "") + rule.pattern.replace("'", "''")
+        each.append(
+            f"SELECT doc_id, n, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, regexp_extract_all(t, '{pattern}') AS m, "
+            f"regexp_extract_all(t, '{pattern}', {rule.group}) AS h, regexp_split_to_array(t, '{pattern}') AS g FROM d"
+        )
+    span = "kind || ':' || start || ':' || stop, ',' ORDER BY start, rank"
+    count = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+r AS ({" UNION ALL ".join(each)}),
+u AS (SELECT doc_id, n, rank, kind, least, unnest(m) AS m, unnest(h) AS h, unnest(g[1:len(m)]) AS g, unnest(range(len(m))) AS k FROM r),
+p AS (SELECT *, sum(length(g) + length(m)) OVER (PARTITION BY n, rank ORDER BY k) AS stop FROM u),
+s AS (SELECT n, rank, kind, (stop - length(m))::BIGINT AS start, stop::BIGINT AS stop FROM p WHERE length(h) >= least),
+a AS (SELECT n, {count}, coalesce(string_agg({span}) FILTER (WHERE rank < {len(BASE_RULES)}), '') AS base, string_agg({span}) AS spans FROM s GROUP BY n)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0)::BIGINT AS n_{r.kind}" for r in BASE_RULES)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (n)
+"""

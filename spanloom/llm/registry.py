@@ -35,6 +35,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_minhash_dedup": oracle.MINHASH,
+    "op2_secret_scan": oracle.secrets(),
     "op3_mixing": mixing.ORACLE_SQL,
     "op6_embedding_dedup": oracle.EMBEDDING,
     "op7_line_templates": oracle.LINES,

@@ -63,7 +63,8 @@ def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("document"))
     rows = rows.withColumn("tokens", tokens(F.col("document")))
     total = F.greatest(F.ceil((F.size("tokens") - content) / step), F.lit(0)).cast("int") + 1
-    rows = rows.withColumn("total_chunks", total).select("doc_id", "document", "tokens", "total_chunks", F.explode(F.sequence(F.lit(0), F.col("total_chunks") - 1)).alias("chunk_id"))
+    # The outer form: no filter on the array is inferred, which would compute all tokens once more.
+    rows = rows.withColumn("total_chunks", total).select("doc_id", "document", "tokens", "total_chunks", F.explode_outer(F.sequence(F.lit(0), F.col("total_chunks") - 1)).alias("chunk_id"))
     rows = rows.withColumn("tokens", F.slice("tokens", F.col("chunk_id") * step + 1, content))
     rows = rows.withColumn("global_start", F.coalesce(F.get("tokens", F.lit(0))["start"], F.lit(0)))
     rows = rows.withColumn("global_end", F.coalesce(F.try_element_at("tokens", F.lit(-1))["end"], F.lit(0)))

@@ -80,7 +80,8 @@ def entity_rows(grouped: DataFrame) -> DataFrame:
     from spanloom.functions.chars import cut
     from spanloom.operators.chunking import MARGIN
 
-    rows = grouped.select("doc_id", "chunk_id", "global_start", F.concat("before", "text", "after").alias("around"), F.length("before").alias("shift"), F.posexplode("entities").alias("ent_idx", "e"))
+    rows = grouped.select("doc_id", "chunk_id", "global_start", F.concat("before", "text", "after").alias("around"), F.length("before").alias("shift"), F.posexplode_outer("entities").alias("ent_idx", "e"))
+    rows = rows.where(F.col("ent_idx").isNotNull())  # outer, as no filter on the array is inferred then
     rows = rows.withColumn("start_pos", F.get("e.positions", F.lit(0))["start"]).withColumn("end_pos", F.try_element_at("e.positions", F.lit(-1))["end"])
     low, high = F.col("start_pos") - F.col("global_start") + F.col("shift"), F.col("end_pos") - F.col("global_start") + F.col("shift")
     doc = F.col("around")

@@ -37,7 +37,7 @@ def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _predictions(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", "chunk_id", F.inline("predictions"))
+    return rows.select("doc_id", "chunk_id", F.inline_outer("predictions")).where(F.col("idx").isNotNull())
 
 
 def _shared(spark: SparkSession) -> str:
@@ -78,7 +78,7 @@ def text_column_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Tokens and chunks.
 def tokenize_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", F.inline(chunking.tokens(F.col("text")))).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _docs(spark, sf_dir).select("doc_id", F.inline_outer(chunking.tokens(F.col("text")))).where(F.col("start").isNotNull()).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
 def tokens_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,7 +119,7 @@ def offset_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Groups and entities.
 def bio_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = plan.grouped(_docs(spark, sf_dir)).select("doc_id", "chunk_id", F.posexplode("groups").alias("grp", "g"))
+    rows = plan.grouped(_docs(spark, sf_dir)).select("doc_id", "chunk_id", F.posexplode_outer("groups").alias("grp", "g")).where(F.col("grp").isNotNull())
     return rows.select("doc_id", "chunk_id", "grp", F.posexplode(F.transform("g", lambda p: p["idx"])).alias("place", "idx")).drop("place")
 
 

@@ -22,14 +22,15 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
-_BLOCK = 1_000_000
+#: Characters hashed at once.
+_BLOCK = 200_000
 
 
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 15
     dim: int = 16
-    per_label: int = 1000  #: the bound of the sample: rows a language, in expectation
+    per_label: int = 600  #: the bound of the sample: rows a language, in expectation
     most_labels: int = 500  #: languages with fewer rows than these are not learned
     epochs: int = 12
     rate: float = 2.0
@@ -79,6 +80,7 @@ class Subwords:
         c = self.fold[code]
         letter = np.unique(owner[c > 0])
         keep = (c > 0) | np.r_[True, c[:-1] > 0]  # one blank for any run of others
+        keep[np.cumsum([0] + [len(p) + 2 for _, p in pieces[:-1]])] = True  # and one before each piece, whatever stands before it
         c, owner = c[keep].astype(np.uint64), owner[keep]
         out, who = [], []
         h = c + np.uint64(1)
@@ -131,7 +133,7 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "
     data = []
     for batch in got.to_batches():
         for y, i, t in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-            ids, times = i.values.to_numpy(), t.values.to_numpy().astype(float)
+            ids, times = i.values.to_numpy(), t.values.to_numpy().astype(np.float32)
             if len(ids):
                 data.append((ids, times / times.sum(), place[y]))
     data.sort(key=lambda x: (x[2], len(x[0]), x[0].tobytes(), x[1].tobytes()))

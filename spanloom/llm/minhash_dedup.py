@@ -52,7 +52,7 @@ class Settings:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BLOCK = 1_000_000
+_BLOCK = 400_000
 _SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, a array<long>, b array<long>, c array<long>"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import decontamination, language_id, line_templates, minhash_dedup, mixing
-from spanloom.llm.common import table, written
+from spanloom.llm.common import table, without, written
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +28,8 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    gone = minhash_dedup.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = minhash_dedup.near_duplicates(docs).where(~F.col("kept"))
+    return without(docs, gone).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,15 @@ def one_per_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     return rows
 
 
+def without(docs: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``docs`` but the rows whose doc_id (null too) is in ``ids`` (doc_id): sent to all tasks if counted to be no more
+    than ``most``, so that texts stay where they are; beyond it both sides are shuffled."""
+    ids = written(ids.select(F.col("doc_id").alias("__doc_id")).distinct())
+    if ids.count() <= most:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (u, v long): one row (id, component) per vertex that has an edge.
 

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.common import without
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -100,8 +102,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setting
 
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` without the documents that overlap an item; rows that share a doc_id go together, null ids too."""
-    found = overlaps(docs, benchmark, settings).select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__doc_id"]), "left_anti")
+    return without(docs, overlaps(docs, benchmark, settings))
 
 
 #: The same rows in SQL, by the same masks over the words themselves.

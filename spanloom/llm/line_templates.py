@@ -1,6 +1,6 @@
 """Removal of lines whose template recurs across documents, in DataFrame functions only.
 
-A line is its tokens, separated by blanks; a token with a digit counts as a variable field. Lines are parsed down a
+A line is its tokens, what stands between single blanks; a token with a digit counts as a variable field. Lines are parsed down a
 tree of fixed depth: by number of tokens, then by the first ``depth`` tokens. In a leaf a position's token is constant
 if ``least`` lines or more have it there, else the position is a variable field; a line's template is its
 constants and fields. A template recurs if ``least`` documents or more have it, if ``share`` per cent or more of
@@ -9,8 +9,9 @@ as many as ``spread`` per cent of its documents, or more. The last condition lea
 repeat all their lines in one order, to the operators that look for copies. Lines with recurring templates are
 dropped from all documents. Lines of fewer than ``shortest`` tokens never are.
 
-Equal lines are one row with a count before anything is shuffled, so a line in a third of all documents is
-not a hot row; counts are partial sums.
+Leaves with few lines are found first, from hashes; only the lines of the others are taken apart, and equal ones among
+them are one row with a count. A line in a third of all documents makes a hot leaf only in that one join, where the
+rows of a leaf need not come together, so that adaptive execution can split them; all else is partial sums.
 
 A null text stays null and has no lines. Rows with equal doc_id and text count as one document and all
 get the same result; null doc_ids are ids like others. Further columns stay as they are. Documents are never
@@ -38,35 +39,45 @@ class Settings:
     shortest: int = 3
 
 
-def masked(line: Column) -> Column:
-    """The line with every token that holds a digit as a field."""
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
+def masked(line: Column, digits: Column) -> Column:
+    """The line with every token that holds a digit as a field; ``digits`` tells whether its text holds any."""
+    return F.when(digits & line.rlike("[0-9]"), F.regexp_replace(line, "[^ ]*[0-9][^ ]*", FIELD)).otherwise(line)
 
 
 def tokens(line: Column) -> Column:
-    return F.array_remove(F.split(line, " "), "")
-
-
-def _lines(docs: DataFrame, *more: Column) -> DataFrame:
-    """One row per line: the hash of its masked form, and one of its neighbours as they are."""
-    out = docs.select("doc_id", F.xxhash64("text").alias("print"), F.split("text", "\n").alias("all"))
-    out = out.select("doc_id", "print", F.transform("all", lambda x: F.struct(F.xxhash64(masked(x)).alias("hash"), F.xxhash64(x).alias("raw"))).alias("hashes"))
-    beside = F.transform("hashes", lambda x, k: F.struct(k.alias("at"), x["hash"].alias("hash"), F.xxhash64(F.get("hashes", k - 1)["raw"], F.get("hashes", k + 1)["raw"]).alias("context")))
-    return out.select("doc_id", "print", F.inline(beside))
-
-
-def recurring_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(hash): hashes of the masked lines whose template recurs."""
-    s = settings
-    some = docs.where(F.col("text").isNotNull())
-    rows = some.select(F.explode(F.split("text", "\n")).alias("line"))
-    each = rows.select(masked(F.col("line")).alias("line")).groupBy("line").agg(F.count("*").alias("n"))
-    parsed = each.select("line", "n", tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= s.shortest)
-    parsed = parsed.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, s.depth)))
-    parsed = parsed.select(F.xxhash64("line").alias("hash"), "leaf", "n", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens"), F.transform("tokens", lambda t: t == FIELD).alias("fields"))
-    # Leaves with few lines have no recurring template.
-    few = parsed.groupBy("leaf").agg(F.sum("n").alias("lines")).where(F.col("lines") >= s.least).select("leaf")
-    parsed = written(parsed.join(few, "leaf"))
+    return F.split(line, " ")
+
+
+def _occurrences(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
+def _leaf(line: Column, s: Settings) -> Column:
+    """The leaf of a masked line, found without taking it apart; null for lines that are too short."""
+    blanks = _occurrences(line, " ")
+    return F.when(blanks + 1 >= s.shortest, F.xxhash64(blanks, F.substring_index(line, " ", s.depth)))
+
+
+def _lines(docs: DataFrame, s: Settings) -> DataFrame:
+    """One row per line: its leaf, the hash of its masked form, and one of its neighbours as they are."""
+    out = docs.select("doc_id", F.xxhash64("text").alias("print"), F.col("text").rlike("[0-9]").alias("digits"), F.split("text", "\n").alias("all"))
+    # Exploded in the outer form: no filter on the array is inferred, which would compute it once more.
+    hidden = F.when(F.col("digits"), F.transform("all", lambda x: masked(x, F.lit(True)))).otherwise(F.col("all"))
+    out = out.select("doc_id", "print", hidden.alias("masked"), F.transform("all", lambda x: F.xxhash64(x)).alias("raw"))
+    out = out.select("doc_id", "print", "raw", F.posexplode_outer("masked").alias("at", "line"))
+    return out.select("doc_id", "print", "at", F.xxhash64("line").alias("hash"), _leaf(F.col("line"), s).alias("leaf"), F.xxhash64(F.get("raw", F.col("at") - 1), F.get("raw", F.col("at") + 1)).alias("context"))
+
+
+def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """(hash): hashes of the masked lines whose template recurs; ``lines`` as of ``_lines``."""
+    few = lines.where(F.col("leaf").isNotNull()).groupBy("leaf").count().where(F.col("count") >= s.least).select("leaf")
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("text").rlike("[0-9]").alias("digits"), F.split("text", "\n").alias("all"))
+    rows = rows.select("digits", F.explode_outer("all").alias("line"))  # apart, or the text would be searched once a line
+    rows = rows.select(masked(F.col("line"), F.col("digits")).alias("line"))
+    rows = rows.select("line", _leaf(F.col("line"), s).alias("leaf")).where(F.col("leaf").isNotNull()).join(few.hint("shuffle_hash"), "leaf")
+    # By line alone: then the join's partitions need not stay whole.
+    parsed = rows.groupBy("line").agg(F.count("*").alias("n")).select(_leaf(F.col("line"), s).alias("leaf"), "n", F.xxhash64("line").alias("hash"), tokens(F.col("line")).alias("tokens"))
+    parsed = written(parsed.select("leaf", "n", "hash", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens"), F.transform("tokens", lambda t: t == FIELD).alias("fields")))
     placed = parsed.select("leaf", "hash", "n", "fields", F.posexplode("tokens").alias("place", "token"))
     constant = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("lines")).where(F.col("lines") >= s.least).select("leaf", "place", "token", F.lit(True).alias("constant"))
     known = placed.join(constant, ["leaf", "place", "token"], "left").withColumn("constant", F.coalesce("constant", F.lit(False)) & ~F.get("fields", F.col("place")))
@@ -78,7 +89,7 @@ def recurring_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     )
     template = parts.where(100 * F.col("constants") >= s.share * F.col("size")).select("hash", F.xxhash64("leaf", "constants", F.col("sum").cast("string")).alias("template"))
     template = written(template)
-    seen = _lines(some).select("doc_id", "print", "hash", "context").join(template, "hash")
+    seen = lines.select("doc_id", "print", "hash", "context").join(template, "hash")
     seen = seen.groupBy("template", "doc_id", "print").agg(F.min("context").alias("context"))
     spread = seen.groupBy("template", "context").agg(F.count("*").alias("documents"))
     recurs = spread.groupBy("template").agg(F.sum("documents").alias("documents"), F.count("*").alias("contexts"))
@@ -88,17 +99,18 @@ def recurring_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def drop_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with recurring lines out of ``text``, and the columns ``n_lines`` and ``n_dropped`` after the others."""
-    gone = written(recurring_lines(docs, settings))
-    hit = _lines(docs.where(F.col("text").isNotNull())).select("doc_id", "print", "at", "hash").join(gone, "hash")
+    lines = written(_lines(docs.where(F.col("text").isNotNull()), settings))
+    gone = written(_recurring(lines, docs, settings))
+    hit = lines.select("doc_id", "print", "at", "hash").join(gone, "hash")
     hit = hit.groupBy("doc_id", "print").agg(F.collect_set("at").alias("__gone")).withColumnsRenamed({"doc_id": "__doc_id", "print": "__print"})
     rows = docs.withColumn("__text", F.xxhash64("text"))
-    out = rows.join(hit, rows["doc_id"].eqNullSafe(hit["__doc_id"]) & (rows["__text"] == hit["__print"]), "left")
+    out = rows.join(hit.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(hit["__doc_id"]) & (rows["__text"] == hit["__print"]), "left")
     every = F.split("text", "\n")
-    kept = F.transform(F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("__gone"))), lambda k: F.get(F.col("__lines"), k))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("__gone")), lambda k: F.get(F.col("__lines"), k))
     out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull(), every))
     return out.select(
         *(F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else docs[c] for c in docs.columns),
-        F.coalesce(F.when(F.col("text").isNotNull(), F.size(every)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(_occurrences(F.col("text"), "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__gone")), F.lit(0)).cast("long").alias("n_dropped"),
     )
 

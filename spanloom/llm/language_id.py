@@ -30,7 +30,7 @@ _BLOCK = 200_000
 class Settings:
     buckets: int = 1 << 15
     dim: int = 16
-    per_label: int = 600  #: the bound of the sample: rows a language, in expectation
+    per_label: int = 400  #: the bound of the sample: rows a language, in expectation
     most_labels: int = 500  #: languages with fewer rows than these are not learned
     epochs: int = 12
     rate: float = 2.0
@@ -127,7 +127,7 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "
         return Model((), np.zeros((s.buckets, 0)), np.zeros(0), 1.0, 0.0)
     spot = F.pmod(F.xxhash64(F.lit(s.seed), "key"), F.lit(1 << 30)) / float(1 << 30)
     drawn = rows.join(F.broadcast(rows.sparkSession.createDataFrame(share, "label string, share double")), "label").where(spot < F.col("share"))
-    got = drawn.select("label", "text").limit(4 * s.per_label * len(share)).mapInArrow(_features(s.buckets), "label string, ids array<int>, times array<int>").toArrow()
+    got = drawn.select("label", "text").mapInArrow(_features(s.buckets), "label string, ids array<int>, times array<int>").toArrow()
     labels = tuple(sorted(x for x, _ in share))
     place = {x: k for k, x in enumerate(labels)}
     data = []

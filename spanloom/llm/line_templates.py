@@ -3,7 +3,8 @@
 A line is its tokens, what stands between single blanks; a token with a digit counts as a variable field. Lines are parsed down a
 tree of fixed depth: by number of tokens, then by the first ``depth`` tokens. In a leaf a position's token is constant
 if ``least`` lines or more have it there, else the position is a variable field; a line's template is its
-constants and fields. A template recurs if ``least`` documents or more have it, if ``share`` per cent or more of
+constants and fields. With many lines a field's values pass that too, so a line has a second template, of the constants
+that ``steady`` per cent or more of the leaf's lines have; it goes if either recurs. A template recurs if ``least`` documents or more have it, if ``share`` per cent or more of
 its tokens are constant, and if it stands among different neighbours: the pairs of lines before and after it are
 as many as ``spread`` per cent of its documents, or more. The last condition leaves copies of whole documents, which
 repeat all their lines in one order, to the operators that look for copies. Lines with recurring templates are
@@ -34,6 +35,7 @@ FIELD = "<*>"
 class Settings:
     depth: int = 3
     least: int = 5
+    steady: int = 5
     share: int = 70
     spread: int = 50
     shortest: int = 3
@@ -79,16 +81,21 @@ def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     parsed = rows.groupBy("line").agg(F.count("*").alias("n")).select(_leaf(F.col("line"), s).alias("leaf"), "n", F.xxhash64("line").alias("hash"), tokens(F.col("line")).alias("tokens"))
     parsed = written(parsed.select("leaf", "n", "hash", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens"), F.transform("tokens", lambda t: t == FIELD).alias("fields")))
     placed = parsed.select("leaf", "hash", "n", "fields", F.posexplode("tokens").alias("place", "token"))
-    constant = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("lines")).where(F.col("lines") >= s.least).select("leaf", "place", "token", F.lit(True).alias("constant"))
-    known = placed.join(constant, ["leaf", "place", "token"], "left").withColumn("constant", F.coalesce("constant", F.lit(False)) & ~F.get("fields", F.col("place")))
+    sizes = parsed.groupBy("leaf").agg(F.sum("n").alias("all"))
+    constant = placed.groupBy("leaf", "place", "token").agg(F.sum("n").alias("lines")).where(F.col("lines") >= s.least)
+    constant = constant.join(sizes, "leaf").select("leaf", "place", "token", F.lit(True).alias("constant"), (100 * F.col("lines") >= s.steady * F.col("all")).alias("steady"))
+    known = placed.join(constant, ["leaf", "place", "token"], "left")
+    for c in ("constant", "steady"):
+        known = known.withColumn(c, F.coalesce(c, F.lit(False)) & ~F.get("fields", F.col("place")))
+    # A template by a sum over its constants; their places are part of what is hashed.
+    summed = lambda c: F.sum(F.when(F.col(c), F.xxhash64("place", "token").cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)")))
     parts = known.groupBy("leaf", "hash").agg(
-        F.count_if("constant").alias("constants"),
         F.count("*").alias("size"),
-        # The template by a sum over its constants; their places are part of what is hashed.
-        F.sum(F.when(F.col("constant"), F.xxhash64("place", "token").cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)"))).alias("sum"),
+        *(f(c).alias(c + name) for c in ("constant", "steady") for name, f in (("_count", F.count_if), ("_sum", summed))),
     )
-    template = parts.where(100 * F.col("constants") >= s.share * F.col("size")).select("hash", F.xxhash64("leaf", "constants", F.col("sum").cast("string")).alias("template"))
-    template = written(template)
+    each = (F.when(100 * F.col(c + "_count") >= s.share * F.col("size"), F.xxhash64("leaf", c + "_count", F.col(c + "_sum").cast("string"))) for c in ("constant", "steady"))
+    template = parts.select("hash", F.explode_outer(F.array_distinct(F.array(*each))).alias("template"))
+    template = written(template.where(F.col("template").isNotNull()))
     seen = lines.select("doc_id", "print", "hash", "context").join(template, "hash")
     seen = seen.groupBy("template", "doc_id", "print").agg(F.min("context").alias("context"))
     spread = seen.groupBy("template", "context").agg(F.count("*").alias("documents"))

@@ -64,6 +64,17 @@ def test_a_field_that_varies_is_generalised(spark):
     assert all("last edited" not in r.text and r.text.count("\n") == 1 for r in got)
 
 
+@pytest.mark.parametrize("n", [200, 2000])
+def test_fields_stay_variable_with_more_lines(spark, n):
+    import random
+
+    r = random.Random(1)
+    word = lambda kind: kind + "abcdefghijklmnopqrst"[r.randrange(20)] + "abcdefghij"[r.randrange(10)]
+    rows = [(i, f"intro {i}\nThis page was last edited by {word('n')} in {word('c')}\noutro {i} x") for i in range(n)]
+    got = line_templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum("last edited" in row.text for row in got) == 0
+
+
 def test_line_edge_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (None, "a b c\nf", 2), (2, "", 3), (2, "", 3)], "doc_id long, text string, hash int")
     rows = line_templates.drop_templates(df).collect()

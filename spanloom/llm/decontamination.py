@@ -6,7 +6,9 @@ mask, and equal hashes are joined; each hit lays the item beside the document at
 there word by word: some ``stretch`` consecutive words of the item (all of a shorter item) must agree with the
 document in ``agree`` per cent of their places or more, so substitutions are tolerated and chance hits dropped.
 
-Items of fewer words than the masks span use a mask of all their words; items of fewer than ``least`` words
+The masks are chosen by the item's length (``stretch`` for longer ones) so that every pattern of substitutions that
+the verification accepts has a hit: what is found is what comparing all items with all documents at all offsets
+would find. Items of fewer than ``whole`` words must lie in the document whole; items of fewer than ``least`` words
 match nothing. Hashing, joining and verifying are narrow if the benchmark's windows number at most
 ``broadcast``: they are counted, and then sent to all tasks; beyond it both sides are shuffled by hash.
 
@@ -17,6 +19,8 @@ share a doc_id are reported as one.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +30,11 @@ from spanloom.llm.common import without
 
 @dataclass(frozen=True)
 class Settings:
-    # The masks; 1 marks a word that must agree.
-    masks: tuple[str, ...] = ("111010011", "110010111")
+    most_masks: int = 4
     stretch: int = 12
     agree: int = 75
     least: int = 5
+    whole: int = 9
     broadcast: int = 200_000
 
 
@@ -39,28 +43,49 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), " "), "")
 
 
-def _masks(settings: Settings, sizes: list[int]) -> list[str]:
-    """The masks, and one of all words for each length of a shorter item."""
-    span = len(settings.masks[0])
-    return [*settings.masks, *("1" * n for n in sizes if settings.least <= n < span)]
-
-
-def _seeds(hashes: str, size: str, at: Column, masks: list[str]) -> Column:
-    """The hash of the window at ``at`` under each mask that fits there."""
+@lru_cache(maxsize=None)
+def _covering(n: int, misses: int, ones: int) -> tuple[str, ...]:
+    """Masks with so many ones, chosen greedily, one of which fits somewhere beside any ``misses`` of ``n`` places; 1 marks
+    a word that must agree."""
+    wrong = list(combinations(range(n), misses))
+    hit = {}
+    for mask in combinations(range(n), ones):
+        if mask[0] == 0:
+            spots = [{k + at for k in mask} for at in range(n - mask[-1])]
+            name = "".join("01"[k in mask] for k in range(mask[-1] + 1))
+            hit[name] = sum(1 << i for i, w in enumerate(wrong) if any(spot.isdisjoint(w) for spot in spots))
+    left, out = (1 << len(wrong)) - 1, []
+    while left:
+        out.append(max(hit, key=lambda m: ((hit[m] & left).bit_count(), -len(m), m)))
+        left &= ~hit[out[-1]]
+    return tuple(out)
+
+
+def masks(n: int, settings: Settings) -> tuple[str, ...]:
+    """The masks for items of ``n`` words, or of ``stretch`` for longer ones: each overlap that is verified holds a window of
+    one of them. They have as many ones as ``most_masks`` of them allow."""
+    n = min(n, settings.stretch)
+    misses = n * (100 - settings.agree) // 100
+    return next(found for ones in range(n - misses, 0, -1) if len(found := _covering(n, misses, ones)) <= settings.most_masks)
+
+
+def _seeds(hashes: str, size: str, at: Column, masks: list[str], may: list[Column] | None = None) -> Column:
+    """The hash of the window at ``at`` under each mask that fits there, and that the row may use."""
     w = lambda k: F.get(F.col(hashes), at + k)
     each = []
     for number, mask in enumerate(masks):
         seen = F.xxhash64(F.lit(number), *(w(k) for k, c in enumerate(mask) if c == "1"))
-        each.append(F.when(at + len(mask) <= F.col(size), seen))
+        fits = at + len(mask) <= F.col(size)
+        each.append(F.when(fits & may[number] if may else fits, seen))
     return F.array(*each)
 
 
-def _windows(rows: DataFrame, masks: list[str], keep: list[str]) -> DataFrame:
+def _windows(rows: DataFrame, masks: list[str], keep: list[str], may: list[Column] | None = None) -> DataFrame:
     """One row per window and mask: ``keep``, at, seed. Kept simple so that it runs as generated code."""
     last = F.col("__n") - min(map(len, masks))
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     out = rows.select(*keep, "__h", "__n", F.explode(starts).alias("at"))
-    out = out.select(*keep, "__h", "__n", "at", F.explode(_seeds("__h", "__n", F.col("at"), masks)).alias("seed"))
+    out = out.select(*keep, "__h", "__n", "at", F.explode(_seeds("__h", "__n", F.col("at"), masks, may)).alias("seed"))
     return out.where(F.col("seed").isNotNull())
 
 
@@ -76,19 +101,22 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setting
     """
     s = settings
     items = _hashed(benchmark.where(F.col("text").isNotNull()), "text", ["item_id"]).where(F.col("__n") >= s.least)
-    span = len(s.masks[0])
-    sizes = sorted(r["__n"] for r in items.where(F.col("__n") < span).select("__n").distinct().collect())
-    masks = _masks(s, sizes)
-    # A short item is found by the mask of its own length alone.
-    item = _windows(items, masks, ["item_id"]).select("item_id", F.col("__h").alias("item_h"), F.col("__n").alias("item_n"), F.col("at").alias("item_at"), "seed")
+    size = F.least(F.col("__n"), F.lit(s.stretch))
+    sizes = sorted(r["size"] for r in items.select(size.alias("size")).distinct().collect()) or [s.stretch]
+    used = {n: masks(n, s) for n in sizes}
+    every = sorted({m for found in used.values() for m in found})
+    # An item is found by the masks of its own length alone.
+    may = [size.isin([n for n in sizes if m in used[n]]) for m in every]
+    item = _windows(items, every, ["item_id"], may).select("item_id", F.col("__h").alias("item_h"), F.col("__n").alias("item_n"), F.col("at").alias("item_at"), "seed")
     if item.limit(s.broadcast + 1).count() <= s.broadcast:
         item = F.broadcast(item)
-    seen = _windows(_hashed(docs, "text", ["doc_id"]), masks, ["doc_id"])
+    seen = _windows(_hashed(docs, "text", ["doc_id"]), every, ["doc_id"])
     # Only the words beside the item leave the stage that looks up the hashes; each alignment then goes on once.
     start = F.col("at") - F.col("item_at")
     beside = F.slice("__h", F.greatest(start, F.lit(0)) + 1, F.greatest(F.col("item_n") + F.least(start, F.lit(0)), F.lit(0)))
     hits = seen.join(item, "seed").select("doc_id", "item_id", start.alias("start"), "item_h", "item_n", beside.alias("beside"))
     hits = hits.groupBy("doc_id", "item_id", "start", F.xxhash64("beside").alias("print")).agg(*(F.first(c).alias(c) for c in ("item_h", "item_n", "beside")))
+    hits = hits.where((F.col("item_n") >= s.whole) | (F.size("beside") == F.col("item_n")))
     late = F.greatest(-F.col("start"), F.lit(0))
     agrees = F.transform(F.sequence(F.lit(0), F.col("item_n") - 1), lambda k: F.coalesce((F.when(k >= late, F.get(F.col("beside"), k - late)) == F.get(F.col("item_h"), k)).cast("int"), F.lit(0)))
     hits = hits.select("doc_id", "item_id", "start", "item_n", agrees.alias("agrees"))
@@ -105,7 +133,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     return without(docs, overlaps(docs, benchmark, settings))
 
 
-#: The same rows in SQL, by the same masks over the words themselves.
+#: The same rows in SQL, by two masks over the words themselves, which find less where three words in twelve differ or items are short.
 ORACLE_SQL = """
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL),

@@ -1,5 +1,7 @@
 """Line templates, decontamination and mixing: against SQL and by hand."""
 
+from itertools import combinations
+
 import duckdb
 import pytest
 
@@ -98,6 +100,20 @@ def test_overlaps_tolerate_substitutions(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.overlaps(df, items, shuffled).collect()} == set(got)
 
 
+def substituted(n, misses):
+    """All ways to replace ``misses`` of the first ``n`` words of ITEM, as documents."""
+    for k, gone in enumerate(combinations(range(n), misses)):
+        yield k, "before " + " ".join("other" if i in gone else w for i, w in enumerate(ITEM.split()[:n])) + " after"
+
+
+def test_every_accepted_substitution_is_found(spark):
+    docs = [*substituted(12, 3), (1000, " ".join("other" if k % 4 == 3 else w for k, w in enumerate(ITEM.split())))]
+    items = spark.createDataFrame([(1, " ".join(ITEM.split()[:12])), (2, ITEM)], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.n_matched for r in decontamination.overlaps(df, items).collect()}
+    assert len(docs) == 221 and all(got[k, 1] == 9 for k, _ in docs[:-1]) and got[1000, 2] == 15
+
+
 def test_overlap_edge_rows(spark):
     items = spark.createDataFrame([(1, "a b c d e"), (2, ""), (None, "v w x y z")], "item_id long, text string")
     df = spark.createDataFrame([(1, None, 1), (None, "a b c d e f", 1), (2, "x A, b c d e", 1), (2, "x A, b c d e", 1), (3, "a b " * 30_000, 1)], "doc_id long, text string, at int")

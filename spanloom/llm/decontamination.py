@@ -1,6 +1,6 @@
 """Benchmark decontamination by spaced seeds, in DataFrame functions only.
 
-Texts are words: lower-cased runs of letters and digits. A seed is a fixed mask over consecutive words; the
+Texts are words: lower-cased runs of letters and digits, and single characters in scripts without blanks. A seed is a fixed mask over consecutive words; the
 words it ignores may differ. Every window of every benchmark item and of every document is hashed under each
 mask, and equal hashes are joined; each hit lays the item beside the document at one offset. It is verified
 there word by word: some ``stretch`` consecutive words of the item (all of a shorter item) must agree with the
@@ -38,9 +38,15 @@ class Settings:
     broadcast: int = 200_000
 
 
+#: Scripts without blanks: Thai and Lao, Burmese, Khmer, kana, bopomofo and Chinese characters.
+UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3005-\u3007\u3040-\u312F\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\uFF66-\uFF9D\x{20000}-\x{3FFFF}]"
+
+
 def words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.array_remove(F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "), " "), "")
+    """Lower-cased runs of letters and digits; each character of a script without blanks is a word."""
+    text = F.coalesce(text, F.lit(""))
+    text = F.when(text.rlike(UNSPACED), F.regexp_replace(text, f"({UNSPACED})", " $1 ")).otherwise(text)
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), "")
 
 
 @lru_cache(maxsize=None)

@@ -114,6 +114,21 @@ def test_every_accepted_substitution_is_found(spark):
     assert len(docs) == 221 and all(got[k, 1] == 9 for k, _ in docs[:-1]) and got[1000, 2] == 15
 
 
+@pytest.mark.parametrize("n, misses", [(5, 1), (6, 1), (7, 1), (8, 2), (9, 2), (10, 2), (11, 2)])
+def test_short_items_tolerate_substitutions(spark, n, misses):
+    docs = list(substituted(n, misses))
+    worse = [(1000 + k, text) for k, text in substituted(n, misses + 1)]
+    df = spark.createDataFrame(docs + worse, "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(ITEM.split()[:n]))], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontamination.overlaps(df, items).collect()) == [k for k, _ in docs]
+
+
+def test_scripts_without_blanks_are_cut_into_characters(spark):
+    df = spark.createDataFrame([(1, "他问:中国的首都是哪里?"), (2, "中国的首都很大,也很美丽。")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "中国的首都是哪里")], "item_id long, text string")
+    assert [(r.doc_id, r.n_matched, r.n_words) for r in decontamination.overlaps(df, items).collect()] == [(1, 8, 8)]
+
+
 def test_overlap_edge_rows(spark):
     items = spark.createDataFrame([(1, "a b c d e"), (2, ""), (None, "v w x y z")], "item_id long, text string")
     df = spark.createDataFrame([(1, None, 1), (None, "a b c d e f", 1), (2, "x A, b c d e", 1), (2, "x A, b c d e", 1), (3, "a b " * 30_000, 1)], "doc_id long, text string, at int")

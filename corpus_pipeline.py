@@ -22,7 +22,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their recurring lines."""
-    out = line_templates.drop_templates(docs)
+    out = line_templates.drop_templates(docs, line_templates.WIDER)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

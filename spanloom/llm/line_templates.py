@@ -39,6 +39,12 @@ class Settings:
     share: int = 70
     spread: int = 50
     shortest: int = 3
+    #: Whether equal texts count as several documents.
+    copies: bool = True
+
+
+#: For the pipeline: equal texts as one document. The query and its SQL have the rule above.
+WIDER = Settings(copies=False)
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -97,7 +103,7 @@ def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     template = parts.select("hash", F.explode_outer(F.array_distinct(F.array(*each))).alias("template"))
     template = written(template.where(F.col("template").isNotNull()))
     seen = lines.select("doc_id", "print", "hash", "context").join(template, "hash")
-    seen = seen.groupBy("template", "doc_id", "print").agg(F.min("context").alias("context"))
+    seen = seen.groupBy("template", *(["doc_id"] if s.copies else []), "print").agg(F.min("context").alias("context"))
     spread = seen.groupBy("template", "context").agg(F.count("*").alias("documents"))
     recurs = spread.groupBy("template").agg(F.sum("documents").alias("documents"), F.count("*").alias("contexts"))
     recurs = recurs.where((F.col("documents") >= s.least) & (F.col("contexts") >= s.least) & (100 * F.col("contexts") >= s.spread * F.col("documents")))

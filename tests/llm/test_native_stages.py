@@ -77,6 +77,20 @@ def test_fields_stay_variable_with_more_lines(spark, n):
     assert sum("last edited" in row.text for row in got) == 0
 
 
+def without_lines(spark, rows):
+    import corpus_pipeline
+
+    df = spark.createDataFrame([(k, text, len(text)) for k, text in rows], "doc_id long, text string, n_chars long")
+    return {r.doc_id: r.text for r in corpus_pipeline.without_boilerplate(spark, df, SF).collect()}
+
+
+def test_pipeline_counts_equal_texts_once(spark):
+    page = "intro y\nAll rights reserved here\noutro y"
+    rows = [(i, f"intro a{'abcdefgh'[i]}\nAll rights reserved here\noutro {'abcdefgh'[i]}") for i in range(8)]
+    got = without_lines(spark, rows + [(100 + i, page) for i in range(30)])
+    assert got == {k: text.replace("All rights reserved here\n", "") for k, text in rows} | {100 + i: "intro y\noutro y" for i in range(30)}
+
+
 def test_line_edge_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (None, "a b c\nf", 2), (2, "", 3), (2, "", 3)], "doc_id long, text string, hash int")
     rows = line_templates.drop_templates(df).collect()

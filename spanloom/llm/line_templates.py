@@ -43,8 +43,8 @@ class Settings:
     copies: bool = True
 
 
-#: For the pipeline: equal texts as one document. The query and its SQL have the rule above.
-WIDER = Settings(copies=False)
+#: For the pipeline: lines of one or two tokens too, equal texts as one document. The query and its SQL have the rule above.
+WIDER = Settings(shortest=1, copies=False)
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -63,7 +63,10 @@ def _occurrences(text: Column, char: str) -> Column:
 def _leaf(line: Column, s: Settings) -> Column:
     """The leaf of a masked line, found without taking it apart; null for lines that are too short."""
     blanks = _occurrences(line, " ")
-    return F.when(blanks + 1 >= s.shortest, F.xxhash64(blanks, F.substring_index(line, " ", s.depth)))
+    long = blanks + 1 >= s.shortest
+    if s.shortest < 3:
+        long &= F.trim(line) != ""  # blank lines part paragraphs
+    return F.when(long, F.xxhash64(blanks, F.substring_index(line, " ", s.depth)))
 
 
 def _lines(docs: DataFrame, s: Settings) -> DataFrame:

@@ -91,6 +91,11 @@ def test_pipeline_counts_equal_texts_once(spark):
     assert got == {k: text.replace("All rights reserved here\n", "") for k, text in rows} | {100 + i: "intro y\noutro y" for i in range(30)}
 
 
+def test_pipeline_drops_lines_of_one_or_two_tokens(spark):
+    rows = [(i, f"intro a{'abcdefgh'[i]}\n版权所有未经许可\n\nmiddle {'abcdefgh'[i]}\nRead more\noutro {'abcdefgh'[i]}") for i in range(8)]
+    assert without_lines(spark, rows) == {k: text.replace("版权所有未经许可\n", "").replace("Read more\n", "") for k, text in rows}
+
+
 def test_line_edge_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (None, "a b c\nf", 2), (2, "", 3), (2, "", 3)], "doc_id long, text string, hash int")
     rows = line_templates.drop_templates(df).collect()

@@ -39,12 +39,14 @@ class Settings:
     share: int = 70
     spread: int = 50
     shortest: int = 3
-    #: Whether equal texts count as several documents.
+    #: Whether fields count among the tokens of which ``share`` must be constant, and equal texts as several documents.
+    fields: bool = True
     copies: bool = True
 
 
-#: For the pipeline: lines of one or two tokens too, equal texts as one document. The query and its SQL have the rule above.
-WIDER = Settings(shortest=1, copies=False)
+#: For the pipeline: lines of one or two tokens too, fields not held against a line, equal texts as one document. The query and
+#: its SQL have the rule above.
+WIDER = Settings(shortest=1, fields=False, copies=False)
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -99,10 +101,10 @@ def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     # A template by a sum over its constants; their places are part of what is hashed.
     summed = lambda c: F.sum(F.when(F.col(c), F.xxhash64("place", "token").cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)")))
     parts = known.groupBy("leaf", "hash").agg(
-        F.count("*").alias("size"),
+        (F.count("*") if s.fields else F.count_if(~F.get("fields", F.col("place")))).alias("size"),
         *(f(c).alias(c + name) for c in ("constant", "steady") for name, f in (("_count", F.count_if), ("_sum", summed))),
     )
-    each = (F.when(100 * F.col(c + "_count") >= s.share * F.col("size"), F.xxhash64("leaf", c + "_count", F.col(c + "_sum").cast("string"))) for c in ("constant", "steady"))
+    each = (F.when((F.col(c + "_count") > 0) & (100 * F.col(c + "_count") >= s.share * F.col("size")), F.xxhash64("leaf", c + "_count", F.col(c + "_sum").cast("string"))) for c in ("constant", "steady"))
     template = parts.select("hash", F.explode_outer(F.array_distinct(F.array(*each))).alias("template"))
     template = written(template.where(F.col("template").isNotNull()))
     seen = lines.select("doc_id", "print", "hash", "context").join(template, "hash")

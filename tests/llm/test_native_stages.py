@@ -96,6 +96,11 @@ def test_pipeline_drops_lines_of_one_or_two_tokens(spark):
     assert without_lines(spark, rows) == {k: text.replace("版权所有未经许可\n", "").replace("Read more\n", "") for k, text in rows}
 
 
+def test_pipeline_does_not_hold_fields_against_a_line(spark):
+    rows = [(i, f"intro a{'abcdefgh'[i]}\nPage {i} of 10\nmiddle {'abcdefgh'[i]}\nViews: {i} Likes: 5{i}\n{i} {i} {i}\noutro {'abcdefgh'[i]}") for i in range(8)]
+    assert without_lines(spark, rows) == {k: text.replace(f"Page {k} of 10\n", "").replace(f"Views: {k} Likes: 5{k}\n", "") for k, text in rows}
+
+
 def test_line_edge_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (None, "a b c\nf", 2), (2, "", 3), (2, "", 3)], "doc_id long, text string, hash int")
     rows = line_templates.drop_templates(df).collect()

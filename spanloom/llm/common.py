@@ -101,3 +101,21 @@ def forest(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         if (new == label).all():
             return label
         label = new
+
+
+def spanning(label: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Numbers of links between places x and y that join all that the links join, given that places of one label are joined."""
+    _, label = np.unique(label, return_inverse=True)
+    need: list[np.ndarray] = []
+    left = np.arange(len(x))
+    while True:
+        left = left[label[x[left]] != label[y[left]]]
+        if not len(left):
+            return np.sort(np.concatenate(need)) if need else left
+        # Of each component the first link that leaves it; equal ends are taken once, so no ring is closed but by ties.
+        ends = np.r_[label[x[left]], label[y[left]]]
+        _, at = np.unique(ends, return_index=True)
+        taken = np.unique(left[at % len(left)])
+        need.append(taken)
+        joined = forest(int(label.max()) + 1, label[x[taken]], label[y[taken]])
+        label = joined[label]

@@ -9,23 +9,27 @@ the tables are all pairs of one band from either, so ``tables ** 2`` tables cost
 pair of similarity 0.75 misses all of them with a chance of 2 * (1 - 0.75 ** 3) ** 20 = 3.5e-5. Keys of the
 first collection that only one set has are dropped before the second one is multiplied in.
 
-Groups: documents with equal sets are one class, stood for by its smallest id. Of each bucket the member that
-meets the most others is the pivot, and each set is first compared with the pivot that it meets most often. The
-sets that share half of the union with it, or more, are its *family*; other sets are families of their own. A bucket whose
-members have met in one component or are of one family is finished; of the others, those with more than ``split``
-families go on only as far as a band of a third collection agrees too (the same chance of a miss once more). What
-is left gives the pairs of families between which links may be missing. Each family is compared with all smaller ones
-that it is paired with, and with itself if it is not one component yet, in tiles of ``tile`` documents a side,
-where intersections are counted without a pair being emitted; a tile gives a spanning forest of its links.
-Components come from star contraction over written tables. No bucket, class, family or component is gathered in
-one task or capped.
+Groups: documents of one word sequence (by SHA-256) are one class, stood for by its smallest id. Of each bucket the
+member that meets the most others is the pivot, and each set is first compared with the pivot that it meets most
+often. A bucket whose members have met in one component is finished. Of the others, only sets stay that can still
+have a link: a set linked to one of another component has ``share`` per cent of its shingles, or more, in sets
+of other components, and that is one count over all shingles of the sets in open buckets. So documents that share a frequent
+passage, but not most of their text, leave before they are compared with each other.
+
+What stays open is compared bucket by bucket, the members outside its largest component with all members, in
+tiles of ``tile`` sets and ``held`` shingles a side, where intersections are counted without a pair being
+emitted; buckets of the same members are compared once. A tile gives a spanning forest of the links in it, and these
+are confirmed on the sets of strings. Components come from star contraction over written tables. No bucket, class or
+component is gathered in one task or capped, and nothing depends on its size.
 
 Rows of a null doc_id are left out, rows that repeat an id count as the one with the least text, null texts are
-empty; further columns are passed over.
+empty; further columns are passed over. Texts are read whole, however long: a text's shingles are hashed in one piece, and
+a tile holds two such pieces at least.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import components, forest, one_per_id, written
+from spanloom.llm.common import components, one_per_id, spanning, written
 from spanloom.llm.rolling import Hasher, U, mix
 
 
@@ -45,15 +49,15 @@ class Settings:
     share: int = 75  #: per cent of the union that two linked sets have in common, or more
     rows: int = 3
     tables: int = 20
-    split: int = 64
     tile: int = 256
+    held: int = 1_000_000
     seed: int = 5
 
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BLOCK = 400_000
-_SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, a array<long>, b array<long>, c array<long>"
+_SKETCH = "doc_id long, n_shingles long, words binary, a array<long>, b array<long>"
 
 
 def shingle_set(text: str | bytes, width: int = 5) -> set[bytes]:
@@ -64,8 +68,8 @@ def shingle_set(text: str | bytes, width: int = 5) -> set[bytes]:
     return {b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)}
 
 
-def _hashed(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hash) of each distinct shingle of each text, sorted."""
+def _hashed(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(document, hash) of each distinct shingle of each text, sorted, and a digest of each text's word sequence."""
     data = np.frombuffer(b" ".join(texts).lower() + b" ", np.uint8)
     begins = np.cumsum([0] + [len(t) + 1 for t in texts])
     blank = _SPACE[data]
@@ -96,30 +100,49 @@ def _hashed(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     fresh = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])] if len(doc) else np.zeros(0, bool)
-    return doc[fresh], h[fresh]
+    # The words with one blank after each: equal bytes for equal sequences.
+    line = ~blank | np.r_[False, ~blank[:-1]]
+    packed, ends = np.where(blank, np.uint8(32), data)[line], np.cumsum(line)
+    cuts = np.r_[0, ends[begins[1:] - 1]] if len(texts) else [0]
+    digests = [hashlib.sha256(packed[a:b]).digest() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return doc[fresh], h[fresh], digests
 
 
 def _sketch(s: Settings):
     rng = np.random.default_rng(s.seed)
-    n = 3 * s.tables * s.rows
+    n = 2 * s.tables * s.rows
     factor = rng.integers(0, 2**63, n, dtype=np.uint64) * U(2) + U(1)
     shift = rng.integers(0, 2**63, n, dtype=np.uint64)
 
     def block(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
-        doc, h = _hashed(texts, s.width)
+        doc, h, digests = _hashed(texts, s.width)
         size = np.bincount(doc, minlength=len(texts))
         has = np.flatnonzero(size)
-        bands = np.zeros((3 * s.tables, len(texts)), np.uint64)
-        prints = np.zeros((2, len(texts)), np.uint64)
+        bands = np.zeros((2 * s.tables, len(texts)), np.uint64)
         if len(has):
             starts = (np.cumsum(size) - size)[has]
-            prints[0, has] = np.add.reduceat(mix(h + U(1)), starts)
-            prints[1, has] = np.add.reduceat(mix(h ^ U(0x5851F42D4C957F2D)), starts)
             for k in range(n):
                 low = np.minimum.reduceat((h ^ shift[k]) * factor[k], starts)
                 bands[k // s.rows, has] = mix(bands[k // s.rows, has] * U(31) + low + U(k))
-        lists = [pa.FixedSizeListArray.from_arrays(pa.array(bands[i * s.tables : (i + 1) * s.tables].T.ravel().view(np.int64)), s.tables).cast(pa.list_(pa.int64())) for i in range(3)]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), *(pa.array(p.view(np.int64)) for p in prints), *lists], names=["doc_id", "n_shingles", "f1", "f2", "a", "b", "c"])
+        lists = [pa.FixedSizeListArray.from_arrays(pa.array(bands[i * s.tables : (i + 1) * s.tables].T.ravel().view(np.int64)), s.tables).cast(pa.list_(pa.int64())) for i in range(2)]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(digests, pa.binary()), *lists], names=["doc_id", "n_shingles", "words", "a", "b"])
+
+    return _in_blocks(block)
+
+
+def _shingles(s: Settings):
+    """(rep, hashes) of each document's set."""
+
+    def block(ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
+        doc, h, _ = _hashed(texts, s.width)
+        ends = np.cumsum(np.bincount(doc, minlength=len(texts)))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(h.view(np.int64)))], names=["rep", "hashes"])
+
+    return _in_blocks(block)
+
+
+def _in_blocks(block):
+    """``block`` over some texts of rows (doc_id, text) at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, held = [], [], 0
@@ -167,18 +190,17 @@ def _weighed(pairs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
 
 def _compared(s: Settings):
-    """One tile: links between sets of different components, as (u, v) of a spanning forest."""
-    none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+    """One tile: links (u, v) between sets of different components, as many as a spanning forest needs."""
 
     def run(tile: pa.Table) -> pa.Table:
         left = tile.column("left").to_numpy()
         one, other = np.flatnonzero(left), np.flatnonzero(~left)
         if not len(one) or not len(other):
-            return none
+            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
         rep, component = tile.column("rep").to_numpy(), tile.column("component").to_numpy()
-        doc, h = _hashed([t.as_buffer().to_pybytes() for chunk in tile.column("text").chunks for t in chunk], s.width)
-        size = np.bincount(doc, minlength=len(rep))
-        _, column = np.unique(h, return_inverse=True)
+        hashes = tile.column("hashes").combine_chunks()
+        size = hashes.value_lengths().to_numpy()
+        doc, (_, column) = np.repeat(np.arange(len(rep)), size), np.unique(hashes.flatten().to_numpy(), return_inverse=True)
         # Only shingles on both sides count for intersections; they are taken some columns at a time.
         both = np.bincount(column, weights=left[doc]) * np.bincount(column, weights=~left[doc]) > 0
         number = np.cumsum(both) - 1
@@ -200,13 +222,9 @@ def _compared(s: Settings):
         union = size[one][:, None] + size[other][None] - common
         linked = (100 * common >= s.share * union) & (component[one][:, None] != component[other][None])
         x, y = np.nonzero(linked)
-        if not len(x):
-            return none
         x, y = one[x], other[y]
-        label = forest(len(rep), x, y)
-        touched = np.unique(np.r_[x, y])
-        touched = touched[label[touched] != touched]
-        return pa.table({"u": rep[label[touched]], "v": rep[touched]})
+        need = spanning(component, x, y)
+        return pa.table({"u": rep[x[need]], "v": rep[y[need]]})
 
     return run
 
@@ -217,45 +235,36 @@ def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return rows.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    """(key, family, low, high) of rows (key, rep, component, family): the families of each bucket, and their components' range."""
-    return rows.groupBy("key", "family").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-
-
-def _open(met: DataFrame) -> DataFrame:
-    """(key, families) of the buckets with several components and several families."""
-    bucket = met.groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.count("*").alias("families"))
-    return bucket.where("low < high AND families > 1").select("key", "families")
-
+def _open(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, rep, component, ...) of the buckets with several components."""
+    spread = rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(spread.where("low < high").select("key"), "key")
 
-def _times(rows: DataFrame, sets: DataFrame, bands: str) -> DataFrame:
-    """``rows`` (key, rep, component, family) with their keys multiplied by the bands of another collection."""
-    keys = rows.groupBy("rep", "component", "family").agg(F.collect_list("key").alias("keys")).join(sets.select("rep", bands), "rep")
-    keys = keys.select("rep", "component", "family", bands, F.explode("keys").alias("key")).select(F.explode(bands).alias("band"), "key", "rep", "component", "family")
-    return keys.select(F.xxhash64("key", "band").alias("key"), "rep", "component", "family")
 
+def _live(rows: DataFrame, hashes: DataFrame, s: Settings) -> DataFrame:
+    """(rep) that may be linked to another component: ``share`` per cent of their shingles, or more, are in sets of others."""
+    each = rows.select("rep", "component").distinct().join(hashes, "rep").select("rep", "component", F.explode_outer("hashes").alias("h"))
+    spread = each.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
+    held = each.join(spread, "h").groupBy("rep").agg(F.count("*").alias("shared"))
+    return hashes.select("rep", F.size("hashes").alias("n")).join(held, "rep").where(100 * F.col("shared") >= s.share * F.col("n")).select("rep")
 
-def _tiles(across: DataFrame, known: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """Rows of the tiles of all pairs ``across`` (f, g) of families, and of families of several components.
 
-    The larger family of a pair is dealt out on the left, the members of all that it is compared with on the right.
-    """
-    size = written(known.groupBy("family").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")))
-    of = lambda c: size.select(F.col("family").alias(c), F.struct("n", "family").alias(f"{c}_n"))
-    pairs = across.join(of("f"), "f").join(of("g"), "g")
-    larger = F.col("f_n") > F.col("g_n")
-    pairs = pairs.select(F.when(larger, F.col("f")).otherwise(F.col("g")).alias("f"), F.when(larger, F.col("g")).otherwise(F.col("f")).alias("family"))
-    pairs = pairs.union(size.where("low < high").select(F.col("family").alias("f"), "family"))
-    right = written(pairs.join(known, "family").select("f", "rep", "component"))
-    parts = right.groupBy("f").agg(F.ceil(F.count("*") / s.tile).cast("int").alias("columns"))
-    parts = written(parts.join(size.select(F.col("family").alias("f"), F.ceil(F.col("n") / s.tile).cast("int").alias("rows")), "f"))
-    text = texts.select(F.col("doc_id").alias("rep"), "text")
+def _tiles(rows: DataFrame, hashes: DataFrame, s: Settings) -> DataFrame:
+    """The tiles of all buckets of ``rows`` (key, rep, component): members outside the bucket's largest component beside all members."""
+    rows = written(_open(rows).join(hashes.select("rep", F.size("hashes").alias("n")), "rep"))
+    # Buckets of the same members are compared once.
+    alike = rows.groupBy("key").agg(F.count("*").alias("members"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("one"), F.sum(F.xxhash64(F.lit(1), "rep").cast("decimal(38,0)")).alias("two"))
+    rows = rows.join(alike.groupBy("members", "one", "two").agg(F.min("key").alias("key")).select("key"), "key")
+    slots = lambda m, n: F.greatest(F.ceil(m / s.tile), F.ceil(n / s.held)).cast("int")
+    parts = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    parts = parts.groupBy("key").agg(F.max(F.struct("m", "component", "n")).alias("top"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+    parts = parts.select("key", F.col("top.component").alias("top"), slots(F.col("m") - F.col("top.m"), F.col("n") - F.col("top.n")).alias("rows"), slots(F.col("m"), F.col("n")).alias("columns"))
+    both = written(rows.join(parts, "key"))
     spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = known.select(F.col("family").alias("f"), "rep", "component").join(parts, "f").join(text, "rep")
-    left = left.select("f", spot("rows").alias("i"), every("columns").alias("j"), "rep", "component", F.lit(True).alias("left"), "text")
-    right = right.join(parts, "f").join(text, "rep").select("f", every("rows").alias("i"), spot("columns").alias("j"), "rep", "component", F.lit(False).alias("left"), "text")
-    return left.union(right)
+    left = both.where("component <> top").select("key", spot("rows").alias("i"), every("columns").alias("j"), "rep", "component", F.lit(True).alias("left"))
+    right = both.select("key", every("rows").alias("i"), spot("columns").alias("j"), "rep", "component", F.lit(False).alias("left"))
+    return left.union(right).join(hashes, "rep")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -264,8 +273,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     docs = one_per_id(docs)
     sketch = written(docs.mapInArrow(_sketch(s), _SKETCH))
     some = sketch.where("n_shingles > 0")
-    classes = some.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    sets = written(some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").select(F.col("doc_id").alias("rep"), "a", "b", "c"))
+    classes = some.groupBy("words").agg(F.min("doc_id").alias("rep"))
+    sets = written(some.join(classes.select(F.col("rep").alias("doc_id")), "doc_id").select(F.col("doc_id").alias("rep"), "a", "b"))
 
     # The first collection: buckets of two sets or more, and the set of each that meets the most others.
     first = sets.select("rep", F.explode("a").alias("key"))
@@ -276,26 +285,22 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     met = first.join(pivots, "key").where("rep <> pivot").groupBy("rep", "pivot").count()
     best = met.groupBy("rep").agg(F.max(F.struct("count", (-F.col("pivot")).alias("back"))).alias("p")).select((-F.col("p.back")).alias("u"), F.col("rep").alias("v"))
     texts = written(docs.join(first.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
-    star = _weighed(best, texts, s)
-    links = star.where(100 * F.col("common") >= s.share * F.col("union")).select("u", "v")
-    family = star.where(2 * F.col("common") >= F.col("union")).select(F.col("v").alias("rep"), F.col("u").alias("family"))
-    known = _labelled(first.select("rep").distinct(), links).join(family, "rep", "left")
-    known = written(known.withColumn("family", F.coalesce("family", "rep")))
-
-    # Pairs of bands, in the buckets that aren't finished; those of many families split by the third collection.
-    first = written(first.select("key", "rep").join(known, "rep"))
-    tensor = written(_times(first.join(_open(_met(first)), "key"), sets, "b"))
-    met = written(_met(tensor))
-    open_ = written(_open(met))
-    large = tensor.join(open_.where(F.col("families") > s.split), "key")
-    met = written(met.join(open_.where(F.col("families") <= s.split), "key").drop("families").union(_met(_times(large, sets, "c"))))
-    x, y = met.alias("x"), met.alias("y")
-    same = (F.col("x.low") == F.col("x.high")) & (F.col("y.low") == F.col("y.high")) & (F.col("x.low") == F.col("y.low"))
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.family") < F.col("y.family")) & ~same).select(F.col("x.family").alias("f"), F.col("y.family").alias("g")).distinct()
-    more = _tiles(across, known, texts, s).groupBy("f", "i", "j").applyInArrow(_compared(s), "u long, v long")
-    links = written(links.union(more))
-
-    member = _labelled(classes, links).select("f1", "f2", "component")
-    ids = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("f1")).alias("f1"), F.when(F.col("n_shingles") > 0, F.col("f2")).alias("f2"))
-    out = ids.join(member, ["f1", "f2"], "left").withColumn("component_id", F.coalesce("component", "doc_id"))
+    alike = 100 * F.col("common") >= s.share * F.col("union")
+    links = _weighed(best, texts, s).where(alike).select("u", "v")
+    known = written(_labelled(first.select("rep").distinct(), links))
+
+    # Pairs of bands, in the buckets that aren't finished, and of these the sets that may have a link.
+    first = _open(first.select("key", "rep").join(known, "rep"))
+    keys = first.groupBy("rep", "component").agg(F.collect_list("key").alias("keys")).join(sets.select("rep", "b"), "rep")
+    tensor = keys.select("rep", "component", "b", F.explode("keys").alias("key")).select("rep", "component", "key", F.explode("b").alias("band"))
+    tensor = written(_open(written(tensor.select(F.xxhash64("key", "band").alias("key"), "rep", "component"))))
+    hashes = written(docs.join(tensor.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").mapInArrow(_shingles(s), "rep long, hashes array<long>"))
+    live = written(_live(tensor, hashes, s))
+    tiles = _tiles(tensor.join(live, "rep"), hashes, s)
+    more = written(tiles.groupBy("key", "i", "j").applyInArrow(_compared(s), "u long, v long").distinct())
+    links = written(links.union(_weighed(more, texts, s).where(alike).select("u", "v")))
+
+    member = _labelled(classes, links).select("words", "component")
+    ids = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("words")).alias("words"))
+    out = ids.join(member, "words", "left").withColumn("component_id", F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))

@@ -42,7 +42,7 @@ def corpus():
     return rows + [(2000, ""), (2001, "  "), (2002, "A b"), (2003, "a\tB"), (2004, "a b c d e"), (2005, "A B C D E"), (2006, "É b"), (2007, "é b")]
 
 
-@pytest.mark.parametrize("options", [{}, {"split": 3, "tile": 5}])
+@pytest.mark.parametrize("options", [{}, {"tile": 5}, {"held": 300}])
 def test_components_are_those_of_all_pairs(spark, options):
     rows = corpus()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
@@ -55,3 +55,42 @@ def test_edge_rows(spark):
     got = sorted(tuple(r) for r in M.near_duplicates(df).collect())
     assert got == [(1, 0, 1, True), (2, 1, 2, True), (3, 1, 2, False), (4, 1, 4, True)]
     assert M.near_duplicates(df.limit(0)).count() == 0
+
+
+def hot(n, r):
+    """``n`` documents that share a passage and little else, and among them some pairs of near copies."""
+    words = [f"w{i}" for i in range(20_000)]
+    passage = [r.choice(words) for _ in range(100)]
+    rows = []
+    for k in range(n):
+        own = [r.choice(words) for _ in range(140)]
+        rows.append((len(rows), " ".join(own[:70] + passage + own[70:])))
+        if k % 10 == 0:
+            own[r.randrange(140)] = "changed"
+            rows.append((len(rows), " ".join(own[:70] + passage + own[70:])))
+    return rows
+
+
+def test_links_in_buckets_of_many_unlike_sets(spark):
+    rows = hot(150, random.Random(4))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in M.near_duplicates(df).collect()}
+    assert got == by_hand(rows)
+    assert sum(not kept for _, _, kept in got.values()) == 15
+
+
+def test_documents_that_share_a_passage_are_not_compared_with_each_other(spark, monkeypatch):
+    """The rows of the tiles grow with the input, not with the square of the documents that share a passage."""
+    counts, tiles = [], M._tiles
+    monkeypatch.setattr(M, "_tiles", lambda *a: counts.append(tiles(*a).count()) or tiles(*a))
+    for n in (200, 400):
+        rows = hot(n, random.Random(4))
+        M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert counts[1] <= 2.2 * counts[0] + 20
+
+
+def test_word_sequences_have_one_digest():
+    digest = lambda *texts: M._hashed([t.encode() for t in texts], 5)[2]
+    one, two, three, four, five = digest("A b\n c", " a  B c ", "ab c", "", "a b c")
+    assert one == two == five and len({one, three, four}) == 3
+    assert digest("a b c") == [one] and digest("  ") == [four]

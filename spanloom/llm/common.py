@@ -54,10 +54,19 @@ def one_per_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 def without(docs: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame:
     """``docs`` but the rows whose doc_id (null too) is in ``ids`` (doc_id): sent to all tasks if counted to be no more
     than ``most``, so that texts stay where they are; beyond it both sides are shuffled."""
-    ids = written(ids.select(F.col("doc_id").alias("__doc_id")).distinct())
+    gone = unused("gone", docs)
+    ids = written(ids.select(F.col("doc_id").alias(gone)).distinct())
     if ids.count() <= most:
         ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_anti")
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(gone)), "left_anti")
+
+
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores before it as no column of ``frames`` needs."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def components(edges: DataFrame) -> DataFrame:

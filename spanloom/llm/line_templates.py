@@ -4,19 +4,24 @@ A line is its tokens, what stands between single blanks; a token with a digit co
 tree of fixed depth: by number of tokens, then by the first ``depth`` tokens. In a leaf a position's token is constant
 if ``least`` lines or more have it there, else the position is a variable field; a line's template is its
 constants and fields. With many lines a field's values pass that too, so a line has a second template, of the constants
-that ``steady`` per cent or more of the leaf's lines have; it goes if either recurs. A template recurs if ``least`` documents or more have it, if ``share`` per cent or more of
-its tokens are constant, and if it stands among different neighbours: the pairs of lines before and after it are
-as many as ``spread`` per cent of its documents, or more. The last condition leaves copies of whole documents, which
-repeat all their lines in one order, to the operators that look for copies. Lines with recurring templates are
-dropped from all documents. Lines of fewer than ``shortest`` tokens never are.
+that ``steady`` per cent or more of the leaf's lines have. Of the tokens without a digit ``share`` per cent or more must be constant.
+
+A template recurs if ``least`` or more different texts have it that are not near copies, and they are ``spread`` per cent
+or more of all different texts that have it; lines with either template recurring are dropped from all documents. A line is taken for copied if
+its first or its last ``edge`` tokens, as they are, stand first or last in a line of ``least`` different texts or more; a text is a near copy if
+copied lines make up ``copied`` per cent or more of its characters. So what distinguishes a page with a license block or a footer
+from a copy is the text that it has besides, and blocks of several lines go as single lines do; copies of whole documents, which
+have no text besides, are left to the operators that look for copies, but lose the footers that other pages have.
+Lines of blanks part paragraphs and are never dropped.
 
 Leaves with few lines are found first, from hashes; only the lines of the others are taken apart, and equal ones among
 them are one row with a count. A line in a third of all documents makes a hot leaf only in that one join, where the
 rows of a leaf need not come together, so that adaptive execution can split them; all else is partial sums.
 
-A null text stays null and has no lines. Rows with equal doc_id and text count as one document and all
-get the same result; null doc_ids are ids like others. Further columns stay as they are. Documents are never
-dropped; one whose lines all go keeps an empty text.
+A null text stays null and has no lines; an empty one has one empty line. Rows with equal doc_id and text get the same result;
+null doc_ids are ids like others. Texts are read whole, and a row holds one text's lines at most. Further columns stay as they are, whatever
+their names, but that ``n_lines`` and ``n_dropped`` are replaced where they are returned. Documents are never dropped; one
+whose lines all go keeps an empty text.
 """
 
 from __future__ import annotations
@@ -37,16 +42,9 @@ class Settings:
     least: int = 5
     steady: int = 5
     share: int = 70
-    spread: int = 50
-    shortest: int = 3
-    #: Whether fields count among the tokens of which ``share`` must be constant, and equal texts as several documents.
-    fields: bool = True
-    copies: bool = True
-
-
-#: For the pipeline: lines of one or two tokens too, fields not held against a line, equal texts as one document. The query and
-#: its SQL have the rule above.
-WIDER = Settings(shortest=1, fields=False, copies=False)
+    edge: int = 6
+    copied: int = 75
+    spread: int = 10
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -63,30 +61,30 @@ def _occurrences(text: Column, char: str) -> Column:
 
 
 def _leaf(line: Column, s: Settings) -> Column:
-    """The leaf of a masked line, found without taking it apart; null for lines that are too short."""
-    blanks = _occurrences(line, " ")
-    long = blanks + 1 >= s.shortest
-    if s.shortest < 3:
-        long &= F.trim(line) != ""  # blank lines part paragraphs
-    return F.when(long, F.xxhash64(blanks, F.substring_index(line, " ", s.depth)))
+    """The leaf of a masked line, found without taking it apart; null for lines of blanks."""
+    return F.when(F.btrim(line, F.lit(" \t\r")) != "", F.xxhash64(_occurrences(line, " "), F.substring_index(line, " ", s.depth)))
 
 
-def _lines(docs: DataFrame, s: Settings) -> DataFrame:
-    """One row per line: its leaf, the hash of its masked form, and one of its neighbours as they are."""
-    out = docs.select("doc_id", F.xxhash64("text").alias("print"), F.col("text").rlike("[0-9]").alias("digits"), F.split("text", "\n").alias("all"))
+def _split(docs: DataFrame, *keep: Column) -> DataFrame:
+    """``keep``, at, line, masked: one row per line of each text."""
     # Exploded in the outer form: no filter on the array is inferred, which would compute it once more.
-    hidden = F.when(F.col("digits"), F.transform("all", lambda x: masked(x, F.lit(True)))).otherwise(F.col("all"))
-    out = out.select("doc_id", "print", hidden.alias("masked"), F.transform("all", lambda x: F.xxhash64(x)).alias("raw"))
-    out = out.select("doc_id", "print", "raw", F.posexplode_outer("masked").alias("at", "line"))
-    return out.select("doc_id", "print", "at", F.xxhash64("line").alias("hash"), _leaf(F.col("line"), s).alias("leaf"), F.xxhash64(F.get("raw", F.col("at") - 1), F.get("raw", F.col("at") + 1)).alias("context"))
+    out = docs.select(*keep, F.col("text").rlike("[0-9]").alias("digits"), F.split("text", "\n").alias("all"))
+    out = out.select("*", F.posexplode_outer("all").alias("at", "line")).drop("all")
+    return out.withColumn("masked", masked(F.col("line"), F.col("digits"))).drop("digits")
 
 
-def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
-    """(hash): hashes of the masked lines whose template recurs; ``lines`` as of ``_lines``."""
+def _lines(docs: DataFrame, s: Settings) -> DataFrame:
+    """One row per line: its leaf, the hashes of its masked form and of its ends, and its length."""
+    rows = _split(docs, F.col("doc_id"), F.xxhash64("text").alias("print"))
+    line = F.col("line")
+    ends = (F.xxhash64(F.lit(k), F.substring_index(line, " ", k)).alias(c) for c, k in (("head", s.edge), ("tail", -s.edge)))
+    return rows.select("doc_id", "print", "at", F.xxhash64("masked").alias("hash"), _leaf(F.col("masked"), s).alias("leaf"), *ends, F.length(line).alias("size"))
+
+
+def _templates(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """(hash, template): both templates of the masked lines in leaves of ``least`` lines or more; ``lines`` as of ``_lines``."""
     few = lines.where(F.col("leaf").isNotNull()).groupBy("leaf").count().where(F.col("count") >= s.least).select("leaf")
-    rows = docs.where(F.col("text").isNotNull()).select(F.col("text").rlike("[0-9]").alias("digits"), F.split("text", "\n").alias("all"))
-    rows = rows.select("digits", F.explode_outer("all").alias("line"))  # apart, or the text would be searched once a line
-    rows = rows.select(masked(F.col("line"), F.col("digits")).alias("line"))
+    rows = _split(docs.where(F.col("text").isNotNull())).select(F.col("masked").alias("line"))
     rows = rows.select("line", _leaf(F.col("line"), s).alias("leaf")).where(F.col("leaf").isNotNull()).join(few.hint("shuffle_hash"), "leaf")
     # By line alone: then the join's partitions need not stay whole.
     parsed = rows.groupBy("line").agg(F.count("*").alias("n")).select(_leaf(F.col("line"), s).alias("leaf"), "n", F.xxhash64("line").alias("hash"), tokens(F.col("line")).alias("tokens"))
@@ -101,39 +99,57 @@ def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     # A template by a sum over its constants; their places are part of what is hashed.
     summed = lambda c: F.sum(F.when(F.col(c), F.xxhash64("place", "token").cast("decimal(38,0)")).otherwise(F.lit(0).cast("decimal(38,0)")))
     parts = known.groupBy("leaf", "hash").agg(
-        (F.count("*") if s.fields else F.count_if(~F.get("fields", F.col("place")))).alias("size"),
+        F.count_if(~F.get("fields", F.col("place"))).alias("size"),
         *(f(c).alias(c + name) for c in ("constant", "steady") for name, f in (("_count", F.count_if), ("_sum", summed))),
     )
     each = (F.when((F.col(c + "_count") > 0) & (100 * F.col(c + "_count") >= s.share * F.col("size")), F.xxhash64("leaf", c + "_count", F.col(c + "_sum").cast("string"))) for c in ("constant", "steady"))
     template = parts.select("hash", F.explode_outer(F.array_distinct(F.array(*each))).alias("template"))
-    template = written(template.where(F.col("template").isNotNull()))
-    seen = lines.select("doc_id", "print", "hash", "context").join(template, "hash")
-    seen = seen.groupBy("template", *(["doc_id"] if s.copies else []), "print").agg(F.min("context").alias("context"))
-    spread = seen.groupBy("template", "context").agg(F.count("*").alias("documents"))
-    recurs = spread.groupBy("template").agg(F.sum("documents").alias("documents"), F.count("*").alias("contexts"))
-    recurs = recurs.where((F.col("documents") >= s.least) & (F.col("contexts") >= s.least) & (100 * F.col("contexts") >= s.spread * F.col("documents")))
+    return template.where(F.col("template").isNotNull())
+
+
+def _copies(lines: DataFrame, s: Settings) -> DataFrame:
+    """(print): texts that are near copies of others."""
+    ends = lines.where("size > 0").select("print", "at", "size", F.explode(F.array("head", "tail")).alias("end"))
+    often = ends.select("end", "print").distinct().groupBy("end").agg(F.count("*").alias("n")).where(F.col("n") >= s.least).select("end")
+    copied = ends.join(often, "end").select("print", "at", "size").distinct().groupBy("print").agg(F.sum("size").alias("copied"))
+    whole = lines.select("print", "at", "size").distinct().groupBy("print").agg(F.sum("size").alias("whole"))
+    return copied.join(whole, "print").where(100 * F.col("copied") >= s.copied * F.col("whole")).select("print")
+
+
+def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
+    """(hash): hashes of the masked lines whose template recurs; ``lines`` as of ``_lines``."""
+    template = written(_templates(lines, docs, s))
+    seen = lines.select("print", "hash").join(template, "hash").select("template", "print").distinct()
+    seen = seen.join(_copies(lines, s).withColumn("copy", F.lit(True)), "print", "left")
+    recurs = seen.groupBy("template").agg(F.count("*").alias("texts"), F.count_if(F.col("copy").isNull()).alias("own"))
+    recurs = recurs.where((F.col("own") >= s.least) & (100 * F.col("own") >= s.spread * F.col("texts")))
     return template.join(recurs.select("template"), "template").select("hash").distinct()
 
 
-def drop_templates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` with recurring lines out of ``text``, and the columns ``n_lines`` and ``n_dropped`` after the others."""
+def drop_templates(docs: DataFrame, settings: Settings = Settings(), counts: bool = True) -> DataFrame:
+    """``docs`` with recurring lines out of ``text``; with ``counts`` the columns ``n_lines`` and ``n_dropped`` after the others."""
     lines = written(_lines(docs.where(F.col("text").isNotNull()), settings))
     gone = written(_recurring(lines, docs, settings))
     hit = lines.select("doc_id", "print", "at", "hash").join(gone, "hash")
-    hit = hit.groupBy("doc_id", "print").agg(F.collect_set("at").alias("__gone")).withColumnsRenamed({"doc_id": "__doc_id", "print": "__print"})
-    rows = docs.withColumn("__text", F.xxhash64("text"))
-    out = rows.join(hit.hint("shuffle_hash"), rows["doc_id"].eqNullSafe(hit["__doc_id"]) & (rows["__text"] == hit["__print"]), "left")
-    every = F.split("text", "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("__gone")), lambda k: F.get(F.col("__lines"), k))
-    out = out.withColumn("__lines", F.when(F.col("__gone").isNotNull(), every))
+    hit = hit.groupBy("doc_id", "print").agg(F.collect_set("at").alias("gone"))
+    # All columns travel in one, so that none has the name of another.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("own"))
+    out = rows.join(hit.hint("shuffle_hash"), F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("print")), "left")
+    text = F.col("row.text")
+    every = F.split(text, "\n")
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone")), lambda k: F.get(F.col("lines"), k))
+    out = out.withColumn("lines", F.when(F.col("gone").isNotNull(), every))
+    columns = [c for c in docs.columns if not (counts and c.lower() in ("n_lines", "n_dropped"))]
+    told = (
+        F.coalesce(_occurrences(text, "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("long").alias("n_dropped"),
+    )
     return out.select(
-        *(F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else docs[c] for c in docs.columns),
-        F.coalesce(_occurrences(F.col("text"), "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__gone")), F.lit(0)).cast("long").alias("n_dropped"),
+        *(F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col("row")[c].alias(c) for c in columns),
+        *(told if counts else ()),
     )
 
 
 def digest(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     out = drop_templates(docs.select("doc_id", "text"), settings)
     return out.select("doc_id", "n_lines", "n_dropped", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-

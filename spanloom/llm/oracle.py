@@ -39,23 +39,33 @@ j AS (SELECT d.doc_id, h, coalesce(sum(b - a), 0) AS gone, count(a) AS spans, co
 SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, gone::BIGINT AS n_removed, spans::BIGINT AS n_spans, sha256(unhex(kept || substring(h, 2 * last + 1))) AS kept_sha256 FROM j
 """
 
-#: Lines, their templates and contexts are compared as strings.
+#: Lines, their templates and their ends are compared as strings.
 LINES = """
-WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
-l0 AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM d),
-l AS (SELECT *, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m,
-        coalesce(lag(line) OVER (PARTITION BY doc_id, text ORDER BY n), chr(1)) || chr(2) || coalesce(lead(line) OVER (PARTITION BY doc_id, text ORDER BY n), chr(1)) AS cx FROM l0),
-e AS (SELECT m, sum(c) AS c, string_split(m, ' ') AS w FROM (SELECT m, count(*) AS c, any_value(k) FROM (SELECT regexp_replace(unnest(string_split(text, chr(10))), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m, 1 AS k FROM documents WHERE text IS NOT NULL) GROUP BY m) GROUP BY m),
-t AS (SELECT m, c, len(w) AS size, len(w)::VARCHAR || ' ' || array_to_string(w[1:3], ' ') AS leaf, unnest(w) AS tok, unnest(range(len(w))) AS place FROM e WHERE len(w) >= 3),
-k AS (SELECT leaf, place, tok FROM t GROUP BY ALL HAVING sum(c) >= 5),
-f AS (SELECT t.m, t.leaf, t.place, t.size, CASE WHEN k.tok IS NOT NULL AND t.tok <> '<*>' THEN t.tok END AS con FROM t LEFT JOIN k ON k.leaf = t.leaf AND k.place = t.place AND k.tok = t.tok),
-p AS (SELECT m, leaf || chr(3) || string_agg(coalesce(con, chr(1)), chr(2) ORDER BY place) AS tpl FROM f GROUP BY m, leaf, size HAVING 100 * count(con) >= 70 * size),
-s AS (SELECT tpl, doc_id, text, min(cx) AS cx, count(DISTINCT cx) AS several FROM l JOIN p USING (m) GROUP BY ALL),
-g AS (SELECT tpl FROM s GROUP BY tpl HAVING count(*) >= 5 AND count(DISTINCT cx) >= 5 AND 100 * count(DISTINCT cx) >= 50 * count(*)),
-o AS (SELECT doc_id, text, count(*) AS n, count(*) FILTER (WHERE gone) AS dropped, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '') AS kept
-      FROM (SELECT l.*, m IN (SELECT m FROM p JOIN g USING (tpl)) AS gone FROM l) GROUP BY doc_id, text)
-SELECT a.doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(dropped, 0)::BIGINT AS n_dropped, coalesce(length(kept), 0)::BIGINT AS kept_chars, sha256(kept) AS text_sha256
-FROM documents a LEFT JOIN o ON a.doc_id IS NOT DISTINCT FROM o.doc_id AND a.text = o.text
+WITH t AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+l AS (SELECT text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS n FROM t),
+m AS (SELECT *, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m, string_split(line, ' ') AS w FROM l),
+e AS (SELECT m, count(*) AS c, string_split(m, ' ') AS w FROM (SELECT regexp_replace(unnest(string_split(text, chr(10))), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m FROM documents WHERE text IS NOT NULL)
+      WHERE trim(m, ' ' || chr(9) || chr(13)) <> '' GROUP BY m),
+i AS (SELECT *, len(w)::VARCHAR || ' ' || array_to_string(w[1:3], ' ') AS leaf FROM e),
+z AS (SELECT leaf, sum(c) AS every FROM i GROUP BY leaf),
+p AS (SELECT m, c, leaf, unnest(w) AS tok, unnest(range(len(w))) AS place FROM i),
+k AS (SELECT leaf, place, tok, sum(c) AS lines FROM p GROUP BY ALL HAVING sum(c) >= 5 AND tok <> '<*>'),
+f AS (SELECT p.m, p.leaf, p.place, p.tok, k.lines, z.every FROM p JOIN z USING (leaf) LEFT JOIN k ON k.leaf = p.leaf AND k.place = p.place AND k.tok = p.tok),
+tpl AS (SELECT m, leaf || chr(3) || string_agg(CASE WHEN lines > 0 THEN tok ELSE chr(1) END, chr(2) ORDER BY place) AS tpl FROM f GROUP BY m, leaf
+          HAVING count(lines) > 0 AND 100 * count(lines) >= 70 * count(*) FILTER (WHERE tok <> '<*>')
+        UNION SELECT m, leaf || chr(3) || string_agg(CASE WHEN 100 * lines >= 5 * every THEN tok ELSE chr(1) END, chr(2) ORDER BY place) FROM f GROUP BY m, leaf
+          HAVING count(*) FILTER (WHERE 100 * lines >= 5 * every) > 0 AND 100 * count(*) FILTER (WHERE 100 * lines >= 5 * every) >= 70 * count(*) FILTER (WHERE tok <> '<*>')),
+h AS (SELECT text, n, length(line) AS size, unnest(['first ' || array_to_string(w[1:6], ' '), 'last ' || array_to_string(w[-6:], ' ')]) AS x FROM m),
+o AS (SELECT x FROM h GROUP BY x HAVING count(DISTINCT text) >= 5),
+y AS (SELECT text, sum(size) AS copied FROM (SELECT DISTINCT text, n, size FROM h JOIN o USING (x)) GROUP BY text),
+q AS (SELECT text FROM y JOIN (SELECT text, sum(length(line)) AS size FROM l GROUP BY text) USING (text) WHERE size > 0 AND 100 * copied >= 75 * size),
+s AS (SELECT DISTINCT tpl, text FROM m JOIN tpl USING (m)),
+g AS (SELECT tpl FROM s LEFT JOIN (SELECT text, 1 AS near FROM q) USING (text) GROUP BY tpl
+      HAVING count(*) FILTER (WHERE near IS NULL) >= 5 AND 100 * count(*) FILTER (WHERE near IS NULL) >= 10 * count(*)),
+r AS (SELECT text, count(*) AS n, count(*) FILTER (WHERE gone) AS dropped, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '') AS kept
+      FROM (SELECT m.*, m IN (SELECT m FROM tpl JOIN g USING (tpl)) AS gone FROM m) GROUP BY text)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(dropped, 0)::BIGINT AS n_dropped, coalesce(length(kept), 0)::BIGINT AS kept_chars, sha256(kept) AS text_sha256
+FROM documents LEFT JOIN r USING (text)
 """
 
 

@@ -1,5 +1,8 @@
 """Line templates, decontamination and mixing: against SQL and by hand."""
 
+import random
+import re
+from collections import Counter
 from itertools import combinations
 
 import duckdb
@@ -30,49 +33,97 @@ def test_native_stages_have_no_python(spark, stage):
     assert "Python" not in stage(docs)._jdf.queryExecution().toString()
 
 
-def lines_by_hand(rows, least=5, share=0.7, spread=0.5):
-    """Templates over equal masked lines only: enough where each template is one line."""
-    import re
-
+def lines_by_hand(rows, least=5, steady=0.05, share=0.7, edge=6, copied=0.75, spread=0.1):
+    """The rule itself over whole lines, leaf by leaf."""
     mask = lambda x: re.sub("[^ ]*[0-9][^ ]*", "<*>", x)
-    seen = {}
-    for doc, text in set(rows):
-        lines = text.split("\n")
-        for k, line in enumerate(lines):
-            context = (lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None)
-            seen.setdefault(mask(line), {}).setdefault((doc, text), context)
-    gone = set()
-    for line, docs in seen.items():
-        parts = line.split(" ")
-        if len(parts) >= 3 and len(docs) >= least and len(set(docs.values())) >= max(least, spread * len(docs)) and sum(p != "<*>" for p in parts) >= share * len(parts):
-            gone.add(line)
-    return {doc: "\n".join(x for x in text.split("\n") if mask(x) not in gone) for doc, text in rows}
+    texts = {text for _, text in rows}
+    leaves, ends = {}, {}
+    for _, text in rows:
+        for line in text.split("\n"):
+            if line.strip(" \t\r"):
+                w = mask(line).split(" ")
+                leaves.setdefault((len(w), *w[:3]), []).append(tuple(w))
+    for text in texts:
+        for line in text.split("\n"):
+            w = line.split(" ")
+            for end in (("first", *w[:edge]), ("last", *w[-edge:])):
+                ends.setdefault(end, set()).add(text)
+    templates = {}
+    for leaf, lines in leaves.items():
+        count = Counter((k, x) for w in lines for k, x in enumerate(w) if x != "<*>")
+        for bound in (least, max(least, steady * len(lines))):
+            for w in set(lines):
+                constant = [(k, x) for k, x in enumerate(w) if count[k, x] >= bound]
+                if constant and len(constant) >= share * sum(x != "<*>" for x in w):
+                    templates.setdefault(" ".join(w), set()).add((leaf, *constant))
+    common = lambda line: any(len(ends[e]) >= least for e in (("first", *line.split(" ")[:edge]), ("last", *line.split(" ")[-edge:])))
+    near = {text for text in texts if text.replace("\n", "") and sum(len(x) for x in text.split("\n") if common(x)) >= copied * len(text.replace("\n", ""))}
+    has = {}
+    for text in texts:
+        for line in text.split("\n"):
+            for template in templates.get(mask(line), ()):
+                has.setdefault(template, set()).add(text)
+    recurs = {x for x, found in has.items() if len(found - near) >= max(least, spread * len(found))}
+    return {doc: "\n".join(x for x in text.split("\n") if not templates.get(mask(x), set()) & recurs) for doc, text in rows}
+
+
+def prose(r, n):
+    return " ".join("".join(r.choice("abcdefghijklm") for _ in range(r.randrange(2, 9))) for _ in range(n))
 
 
 def test_recurring_lines_go_and_copies_stay(spark):
-    rows = [(i, f"only {i} once here x{i}\nCall 55{i} now to win big prizes today\nq{i} end of it") for i in range(12)]
-    rows += [(100 + i, "copy one two three\ncopy four five six\nseven eight nine") for i in range(10)]
-    rows += [(200 + i, f"short\nAll rights reserved\nthing {'abcdefg'[i]} p") for i in range(7)]
+    r = random.Random(3)
+    rows = [(i, f"{prose(r, 9)}\nCall 55{i} now to win big prizes today\n{prose(r, 4)}") for i in range(12)]
+    rows += [(100 + i, "copy one two three\ncopy four five six\nAll rights reserved\nseven eight nine") for i in range(10)]
+    rows += [(200 + i, f"short\nAll rights reserved\n{prose(r, 5)}") for i in range(7)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in line_templates.drop_templates(df).collect()}
     assert got == lines_by_hand(rows)
-    assert "Call" not in got[3] and "All rights" not in got[203] and got[104] == rows[16][1]
+    assert "Call" not in got[3] and "rights" not in got[203] and "short" not in got[203] and got[104] == "copy one two three\ncopy four five six\nseven eight nine"
+
+
+def test_blocks_of_lines_go_and_near_copies_keep_their_lines(spark):
+    r = random.Random(5)
+    footer = "Contact us for more information\nAll rights are reserved by the owner\nno part may be reproduced\nThank you for reading"
+    rows = [(i, f"{prose(r, 12)}\n{prose(r, 30)}\n{footer}") for i in range(60)]
+    body = [prose(r, 30) for _ in range(8)]
+    for i in range(40):
+        lines = [" ".join(w if r.random() > 0.02 else "edit" for w in x.split(" ")) for x in body]
+        rows.append((100 + i, "\n".join(lines) + f"\n{footer}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_templates.drop_templates(df).collect()}
+    assert got == lines_by_hand(rows) == {doc: text.replace(f"\n{footer}", "") for doc, text in rows}
+
+
+CLASH = "gone text lines row own print at hash leaf head tail size line masked digits n_lines n_dropped __gone __text __lines __print __doc_id __language n template"
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    r = random.Random(6)
+    names = [c for c in CLASH.split() if c != "text"]
+    rows = [(i, f"{prose(r, 9)}\nAll rights reserved", *range(i, i + len(names))) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} long" for c in names))
+    out = line_templates.drop_templates(df, counts=False)
+    assert out.columns == df.columns
+    assert sorted(tuple(x)[2:] for x in out.collect()) == [x[2:] for x in rows] and all("rights" not in x.text for x in out.collect())
+    out = line_templates.drop_templates(df)
+    assert out.columns == [c for c in df.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
+    assert {(x.n_lines, x.n_dropped) for x in out.collect()} == {(2, 1)}
 
 
 def test_a_field_that_varies_is_generalised(spark):
     names = "Anna Bert Carl Dora Emil Fritz Gerd Hans".split()
-    rows = [(i, f"intro {n} {n}\nThis page was last edited by {n}\noutro {n} {n} {n}") for i, n in enumerate(names)]
+    r = random.Random(2)
+    rows = [(i, f"{prose(r, 8)}\nThis page was last edited by {n}\n{prose(r, 8)}") for i, n in enumerate(names)]
     got = line_templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all("last edited" not in r.text and r.text.count("\n") == 1 for r in got)
 
 
 @pytest.mark.parametrize("n", [200, 2000])
 def test_fields_stay_variable_with_more_lines(spark, n):
-    import random
-
     r = random.Random(1)
     word = lambda kind: kind + "abcdefghijklmnopqrst"[r.randrange(20)] + "abcdefghij"[r.randrange(10)]
-    rows = [(i, f"intro {i}\nThis page was last edited by {word('n')} in {word('c')}\noutro {i} x") for i in range(n)]
+    rows = [(i, f"{prose(r, 8)}\nThis page was last edited by {word('n')} in {word('c')}\n{prose(r, 8)}") for i in range(n)]
     got = line_templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sum("last edited" in row.text for row in got) == 0
 
@@ -86,7 +137,7 @@ def without_lines(spark, rows):
 
 def test_pipeline_counts_equal_texts_once(spark):
     page = "intro y\nAll rights reserved here\noutro y"
-    rows = [(i, f"intro a{'abcdefgh'[i]}\nAll rights reserved here\noutro {'abcdefgh'[i]}") for i in range(8)]
+    rows = [(i, f"intro a{'abcdefgh'[i]} so\nAll rights reserved here\noutro {'abcdefgh'[i]}") for i in range(8)]
     got = without_lines(spark, rows + [(100 + i, page) for i in range(30)])
     assert got == {k: text.replace("All rights reserved here\n", "") for k, text in rows} | {100 + i: "intro y\noutro y" for i in range(30)}
 
@@ -99,6 +150,8 @@ def test_pipeline_drops_lines_of_one_or_two_tokens(spark):
 def test_pipeline_does_not_hold_fields_against_a_line(spark):
     rows = [(i, f"intro a{'abcdefgh'[i]}\nPage {i} of 10\nmiddle {'abcdefgh'[i]}\nViews: {i} Likes: 5{i}\n{i} {i} {i}\noutro {'abcdefgh'[i]}") for i in range(8)]
     assert without_lines(spark, rows) == {k: text.replace(f"Page {k} of 10\n", "").replace(f"Views: {k} Likes: 5{k}\n", "") for k, text in rows}
+    got = {r.doc_id: r.text for r in line_templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == lines_by_hand(rows) == without_lines(spark, rows)
 
 
 def test_line_edge_rows(spark):

@@ -1,14 +1,15 @@
 """Secret scan over a trigram index, in DataFrame functions only.
 
 Each rule's regular expression is turned into a Boolean query over the trigrams that every match must
-hold. The index keeps, for each trigram that some query names, the posting list of the rows whose text
-holds it; as lists are only ever intersected row by row they are stored as bitmaps, bit k of a row's
-``postings`` telling whether the row is on list k. Intersecting and uniting lists is then ``and`` and ``or`` of
-bits, with nothing shuffled. Rows that satisfy a rule's query are candidates and are verified with the
-regular expression; a rule with no mandatory trigram scans every row.
-
-Null texts count as empty. Null or repeated ids and further columns are passed over: one row out for one
-row in. Offsets are code points, ends exclusive. Matches are leftmost and do not overlap within a kind.
+hold. The index is inverted: for each trigram that some query names, a posting for every text that holds it; texts are
+known by their hash, so that equal texts have one posting. All postings come from one search of each text, for any of the
+trigrams. A rule's query is a union of intersections of posting lists, taken by counting a text's postings for each intersection;
+texts that satisfy it are the rule's candidates and are verified with the regular expression. A rule with no mandatory trigram scans
+every text. Candidates are sent to all tasks if they are counted to be no more than ``most``; beyond it they are joined by hash.
+
+Null texts count as empty. Null or repeated ids are passed over: one row out for one row in, with all columns, whatever their names,
+but ``secrets``, which is replaced. Texts are read whole; trigrams are looked for in pieces of ``piece`` characters. Offsets are code points,
+ends exclusive. Matches are leftmost and do not overlap within a kind.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.common import written
+
 try:  # the parser's home since Python 3.11
     from re import _constants as sre_constants
     from re import _parser as sre_parser
@@ -141,36 +144,39 @@ def trigram_query(pattern: str, fold: bool = False) -> Query:
     return parts(sre_parser.parse(pattern, re.IGNORECASE if fold else 0))
 
 
-def trigram_index(text: Column, rules: tuple[Rule, ...] = RULES) -> tuple[list[str], Column]:
-    """The indexed trigrams, and each row's bits: bit k is set if the row is on the posting list of trigram k."""
+def _any_of(names: list[str]) -> str:
+    """A pattern that stands before each of the trigrams ``names`` and takes it as its group."""
+    firsts: dict[str, list[str]] = {}
+    for n in names:
+        firsts.setdefault(n[0], []).append(re.escape(n[1:]))
+    return "(?=(" + "|".join(f"{re.escape(a)}(?:{'|'.join(rest)})" for a, rest in sorted(firsts.items())) + "))"
+
+
+def _print(body: Column) -> Column:
+    return F.xxhash64(body)
+
+
+def trigram_index(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", piece: int = 1 << 20) -> DataFrame:
+    """(trigram, print): the postings of all trigrams that some rule's query names."""
     names = sorted({t for r in rules for a in trigram_query(r.pattern, r.fold) or () for t in a})
-    low = F.lower(text)
-    bits = [F.when(F.contains(low, F.lit(t)), F.shiftleft(F.lit(1).cast("long"), k % 62)).otherwise(F.lit(0).cast("long")) for k, t in enumerate(names)]
-    words = []
-    for start in range(0, len(bits), 62):
-        word = bits[start]
-        for b in bits[start + 1 : start + 62]:
-            word = word.bitwiseOR(b)
-        words.append(word)
-    return names, F.array(*words) if words else F.array().cast("array<long>")
-
-
-def candidate(rule: Rule, names: list[str], postings: str) -> Column:
-    """Whether a row is in the rule's union of intersections of posting lists."""
-    query = trigram_query(rule.pattern, rule.fold)
-    if query is None:
-        return F.lit(True)
-    place = {t: k for k, t in enumerate(names)}
-    out = F.lit(False)
-    for need in sorted(map(sorted, query)):
-        masks: dict[int, int] = {}
-        for t in need:
-            masks[place[t] // 62] = masks.get(place[t] // 62, 0) | 1 << place[t] % 62
-        one = F.lit(True)
-        for word, mask in masks.items():
-            one &= F.get(F.col(postings), F.lit(word)).bitwiseAND(F.lit(mask)) == F.lit(mask)
-        out |= one
-    return out
+    body = F.coalesce(F.col(text), F.lit(""))
+    low = docs.select(_print(body).alias("print"), F.lower(body).alias("low"))
+    size = F.length("low")
+    cut = F.transform(F.sequence(F.lit(0), F.floor(size / piece).cast("int")), lambda k: F.substring(F.col("low"), k * piece + 1, F.lit(piece + 2)))
+    low = low.select("print", F.explode_outer(F.when(size > piece, cut).otherwise(F.array("low"))).alias("low"))
+    found = F.array_distinct(F.regexp_extract_all("low", F.lit(_any_of(names) if names else r"(\z\b\B)"), F.lit(1)))
+    return low.select("print", F.explode(found).alias("trigram")).select("trigram", "print")
+
+
+def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(print, rules): bit k is set if the text is in rule k's union of intersections of posting lists."""
+    needs = [(rank, part, t, len(need)) for rank, r in enumerate(rules) for part, need in enumerate(sorted(map(sorted, trigram_query(r.pattern, r.fold) or ()))) for t in need]
+    if not needs:
+        return index.select("print", F.lit(0).cast("long").alias("rules")).limit(0)
+    each = F.array(*(F.struct(F.lit(a).alias("rank"), F.lit(b).alias("part"), F.lit(t).alias("trigram"), F.lit(n).alias("size")) for a, b, t, n in needs))
+    lists = index.sparkSession.range(1).select(F.inline(each))
+    met = index.distinct().join(F.broadcast(lists), "trigram").groupBy("print", "rank", "part", "size").agg(F.count("*").alias("n")).where("n = size")
+    return met.groupBy("print").agg(F.bit_or(F.expr("shiftleft(1L, rank)")).alias("rules"))
 
 
 def _spans(rule: Rule, rank: int, text: str) -> Column:
@@ -200,19 +206,26 @@ def _spans(rule: Rule, rank: int, text: str) -> Column:
     return F.aggregate(rows, zero, step)["out"]
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", most: int = 1_000_000) -> DataFrame:
     """``docs`` with ``secrets``: array of (start, rank, end, kind) by start, then by the rule's place."""
-    body, bits = "__body", "__postings"
-    names, index = trigram_index(F.col(body), rules)
-    out = docs.withColumn(body, F.coalesce(F.col(text), F.lit(""))).withColumn(bits, index)
+    if len(rules) > 62:
+        raise ValueError("at most 62 rules at once")
+    found = written(candidates(written(trigram_index(docs, rules, text)), rules).withColumnRenamed("print", "at"))
+    if found.limit(most + 1).count() <= most:
+        found = F.broadcast(found)
+    own = [c for c in docs.columns if c.lower() != "secrets"]
+    # All columns travel in one, so that none has the name of another.
+    out = docs.select(F.struct(*own).alias("row"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    out = out.withColumn("print", _print(F.col("body"))).join(found, F.col("print") == F.col("at"), "left")
     none = F.array().cast("array<struct<start:long,rank:int,end:long,kind:string>>")
     each = []
     for rank, rule in enumerate(rules):
-        here = candidate(rule, names, bits)
+        listed = F.coalesce(F.getbit("rules", F.lit(rank)) == 1, F.lit(False))
+        here = listed if trigram_query(rule.pattern, rule.fold) else F.lit(True)
         if re.fullmatch(r"\[[^\]]+\]\+", rule.pattern):
-            here &= F.col(body).rlike(f"{rule.pattern[:-1]}{{{rule.least}}}")
-        each.append(F.when(here, _spans(rule, rank, body)).otherwise(none))
-    return out.withColumn("secrets", F.array_sort(F.concat(*each))).drop(body, bits)
+            here &= F.col("body").rlike(f"{rule.pattern[:-1]}{{{rule.least}}}")
+        each.append(F.when(here, _spans(rule, rank, "body")).otherwise(none))
+    return out.select("row.*", F.array_sort(F.concat(*each)).alias("secrets"))
 
 
 def joined(spans: Column) -> Column:

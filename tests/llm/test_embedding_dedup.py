@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spanloom.llm import embedding_dedup as D
 
@@ -21,7 +22,7 @@ def by_hand(rows, cosine=0.98):
         comp = new
 
 
-@pytest.mark.parametrize("options", [{}, {"tile": 20}, {"blocks": 8, "cell": 2.5}, {"blocks": 1}])
+@pytest.mark.parametrize("options", [{}, {"tile": 20}, {"blocks": 8, "cell": 2.5, "plane": 2}, {"blocks": 1, "sample": 100}])
 def test_links_are_those_of_all_pairs(spark, options):
     r = np.random.default_rng(4)
     rows = []
@@ -42,3 +43,30 @@ def test_edge_rows(spark):
     got = {r.vec_id: (r.n_links, r.component_id) for r in D.near_duplicates(df).collect()}
     assert got == {1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (0, 4), 5: (0, 5), 6: (2, 6), 7: (2, 6), 8: (2, 6), 9: (1, 9), 10: (0, 10), 11: (1, 9), 12: (1, 12), 13: (1, 12), 14: (0, 14)}
     assert D.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_pairs_compared_grow_with_the_vectors_where_these_fill_more_of_the_space(spark):
+    """Five times the groups: pairs compared are in each block a hundredth of all pairs, and grow little faster than the vectors."""
+    counts = []
+    for groups in (40, 200):
+        r = np.random.default_rng(1)
+        spread = np.r_[np.full(12, 3.0), np.full(20, 0.1)]
+        base = r.normal(size=(groups, 32)) * spread
+        vectors = [(k, [float(x) for x in base[k % groups] + 0.01 * r.normal(size=32)], "a", 1) for k in range(5 * groups)]
+        classes = spark.createDataFrame([(v, i, label, n) for i, v, label, n in vectors], "vector array<double>, rep long, label string, copies long")
+        s = D.Settings(cosine=0.999)
+        turns = D._rotations(classes, s)
+        visits = classes.selectExpr("label", "size(vector) AS dim", "rep", "copies", "vector").mapInArrow(D._visits(s, turns), D._VISIT)
+        cells = visits.groupBy(*D._CELL).agg(F.count_if("home").alias("h"), F.count("*").alias("n"))
+        counts.append(cells.agg(F.sum(F.expr("h * (h - 1) / 2 + h * (n - h)"))).first()[0])
+    assert counts[1] <= 0.01 * 4 * (1000 * 999 / 2) and counts[1] <= 7 * counts[0]
+
+
+def test_rotation_keeps_distances():
+    r = np.random.default_rng(2)
+    for dim in (1, 2, 7, 64):
+        x = r.normal(size=(50, dim))
+        for sample in (None, x, x[:1], x[:2]):
+            turn = D.Rotation(dim, D.Settings(), sample)
+            u = x / np.linalg.norm(x, axis=1, keepdims=True)
+            assert np.allclose(turn.unit(x) @ turn.unit(x).T, u @ u.T) and sum(b - a for a, b in turn.parts) == dim

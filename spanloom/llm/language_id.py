@@ -2,12 +2,13 @@
 
 A text is lower-cased, everything but letters becomes one blank, and each run of 2, 3 and 4 characters is
 hashed to one of ``buckets`` rows of an embedding table. The mean of the rows goes through a linear layer and a
-softmax. Stochastic gradient descent fits both on a bounded sample of labelled rows (``per_label`` rows a
-language in expectation, chosen by a hash of the id); another part of the sample sets the temperature and the
-level below which a prediction is rejected. Every text is then read whole by executors.
+softmax. Stochastic gradient descent fits both on a bounded sample of labelled rows, chosen by a hash of the id: ``per_label`` rows a
+language in expectation, and fewer if there are so many or so long that their counts of subwords would number more than ``held``;
+every language in the labels is learned. Another part of the sample sets the temperature and the
+level below which a prediction is rejected. Every text is then read whole by executors, in pieces if it is long.
 
 Null texts and texts with no letter get ``und`` and score 0, and so does every text if nothing was labelled.
-Rows with a null language or id are never learned from. One row out for one row in; ids may repeat.
+Rows with a null language or id are never learned from. One row out for one row in, with the columns named below only; ids may repeat.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.common import written
+
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 #: Characters hashed at once.
@@ -31,7 +34,7 @@ class Settings:
     buckets: int = 1 << 15
     dim: int = 16
     per_label: int = 400  #: the bound of the sample: rows a language, in expectation
-    most_labels: int = 500  #: languages with fewer rows than these are not learned
+    held: int = 8_000_000  #: the bound of what the sample's rows hold: (subword, count) pairs, in expectation
     epochs: int = 12
     rate: float = 2.0
     rejected: float = 0.001  #: the share of rightly labelled rows that may fall below the level
@@ -42,7 +45,8 @@ class Settings:
 @dataclass(frozen=True)
 class Model:
     labels: tuple[str, ...]
-    table: np.ndarray  #: buckets x labels: the embedding already multiplied by the linear layer
+    table: np.ndarray  #: buckets x labels: the embedding already multiplied by the linear layer; or, with many labels, not yet
+    linear: np.ndarray | None
     bias: np.ndarray
     temperature: float
     level: float
@@ -108,26 +112,29 @@ def _features(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for label, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for label, text, spot in zip(*(batch.column(c).to_pylist() for c in ("label", "text", "spot")), strict=True):
                 total = np.zeros(buckets, np.int64)
                 for ids, _, _ in _subwords(buckets).blocks([text or ""]):
                     total += np.bincount(ids, minlength=buckets)
                 at = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array([label]), pa.array([at], pa.list_(pa.int32())), pa.array([total[at]], pa.list_(pa.int32()))], names=["label", "ids", "times"])
+                yield pa.RecordBatch.from_arrays([pa.array([label]), pa.array([spot]), pa.array([at], pa.list_(pa.int32())), pa.array([total[at]], pa.list_(pa.int32()))], names=["label", "spot", "ids", "times"])
 
     return run
 
 
 def train(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "doc_id", settings: Settings = Settings()) -> Model:
-    """Fit on labelled rows of ``docs``; only features of the bounded sample come to the driver."""
+    """Fit on labelled rows of ``docs``; only the number of rows by label and the features of the bounded sample come to the driver."""
     s = settings
     rows = docs.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(label).alias("label"), F.col(text).alias("text"), F.col(key).alias("key"))
-    share = [(r["label"], min(1.0, s.per_label / r["count"])) for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(s.most_labels).collect()]
+    share = [(r["label"], min(1.0, s.per_label / r["count"])) for r in rows.groupBy("label").count().collect()]
     if not share:
-        return Model((), np.zeros((s.buckets, 0)), np.zeros(0), 1.0, 0.0)
+        return Model((), np.zeros((s.buckets, 0)), None, np.zeros(0), 1.0, 0.0)
     spot = F.pmod(F.xxhash64(F.lit(s.seed), "key"), F.lit(1 << 30)) / float(1 << 30)
     drawn = rows.join(F.broadcast(rows.sparkSession.createDataFrame(share, "label string, share double")), "label").where(spot < F.col("share"))
-    got = drawn.select("label", "text").mapInArrow(_features(s.buckets), "label string, ids array<int>, times array<int>").toArrow()
+    # A narrow table, of which no more than the bound is sent on.
+    drawn = written(drawn.select("label", "text", (spot / F.col("share")).alias("spot")).mapInArrow(_features(s.buckets), "label string, spot double, ids array<int>, times array<int>"))
+    pairs = drawn.agg(F.sum(F.size("ids"))).first()[0] or 0
+    got = drawn.where(F.col("spot") * pairs < s.held).select("label", "ids", "times").toArrow()
     labels = tuple(sorted(x for x, _ in share))
     place = {x: k for k, x in enumerate(labels)}
     data = []
@@ -148,7 +155,7 @@ def _fit(labels: tuple[str, ...], data: list, s: Settings) -> Model:
     embed = rng.normal(0, 1 / s.dim, (s.buckets, s.dim))
     linear, bias = np.zeros((s.dim, len(labels))), np.zeros(len(labels))
     steps, step = max(1, s.epochs * len(fit)), 0
-    weight = np.array([len(fit) / (len(labels) * max(1, sum(y == k for _, _, y in fit))) for k in range(len(labels))])
+    weight = len(fit) / (len(labels) * np.maximum(1, np.bincount([y for _, _, y in fit], minlength=len(labels))))
     for _ in range(s.epochs):
         for k in rng.permutation(len(fit)):
             ids, share, y = fit[k]
@@ -163,15 +170,16 @@ def _fit(labels: tuple[str, ...], data: list, s: Settings) -> Model:
             linear -= rate * np.outer(mean, p)
             bias -= 0.05 * rate * p
             embed[ids] -= rate * np.outer(share, back)
-    table = embed @ linear
+    many = len(labels) > s.dim
+    table = embed if many else embed @ linear
     check = [data[k] for k in sorted(held)] or fit
-    z = np.array([share @ table[ids] + bias for ids, share, _ in check]).reshape(-1, len(labels))
+    z = np.array([(share @ table[ids] @ linear if many else share @ table[ids]) + bias for ids, share, _ in check]).reshape(-1, len(labels))
     y = np.array([y for _, _, y in check], int)
     best = min(np.geomspace(0.25, 8, 41), key=lambda t: -np.log(_softmax(z / t)[np.arange(len(y)), y] + 1e-12).sum())
     p = _softmax(z / best)
     right = p.max(1)[p.argmax(1) == y] if len(y) else np.zeros(0)
     level = min(s.level, float(np.quantile(right, s.rejected))) if len(right) else 0.0
-    return Model(labels, table, bias, float(best), level)
+    return Model(labels, table, linear if many else None, bias, float(best), level)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -182,7 +190,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def _predict(model: Model):
     def run(texts: pa.Array) -> pa.Array:
         rows = [t or "" for t in texts.to_pylist()]
-        k = len(model.labels)
+        k = model.table.shape[1]
         total, times, letters = np.zeros((len(rows), k)), np.zeros(len(rows)), np.zeros(len(rows), bool)
         if k:
             for ids, owner, letter in _subwords(len(model.table)).blocks(rows):
@@ -191,7 +199,8 @@ def _predict(model: Model):
                 for j in range(k):
                     total[:, j] += np.bincount(owner, weights=model.table[ids, j], minlength=len(rows))
         if k and len(rows):
-            p = _softmax((total / np.maximum(times, 1)[:, None] + model.bias) / model.temperature)
+            mean = total / np.maximum(times, 1)[:, None]
+            p = _softmax(((mean if model.linear is None else mean @ model.linear) + model.bias) / model.temperature)
             top = p.argmax(1)
             label = [model.labels[j] if ok else UNKNOWN for j, ok in zip(top, letters, strict=True)]
             score = np.where(letters, p.max(1), 0.0)

@@ -22,9 +22,10 @@ ABBREVIATIONS = ("г.о.", "г.п.", "с.п.", "пос.", "г.", "пгт.", "г
 DOTTED = ("г", "ул", "д", "пр", "тд", "тп")
 # Function words that are never expanded.
 STOP_WORDS = (
-    "в на с у к о об от до по за над под без для ради из через и а но же "
-    "бы ли вот это что как так все еще уже даже только чтобы если потому поэтому"
-).split()
+    "в", "на", "с", "у", "к", "о", "об", "от", "до", "по", "за", "над", "под", "без", "для", "ради", "из", "через",
+    "и", "а", "но", "же", "бы", "ли", "вот", "это", "что", "как", "так", "все", "еще", "уже", "даже", "только",
+    "чтобы", "если", "потому", "поэтому",
+)
 # Pairs that must balance, in the order in which they are looked at.
 PAIRS = ("«»", '""', "''", "“”", "„‟", "()", "[]", "{}")
 

@@ -6,43 +6,93 @@ ends exclusive. Running sums over arrays are taken in blocks, so their cost is l
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words, runs of blanks (dropped afterwards), and single other characters; together they spell the text.
+#: Words, runs of blanks and single other characters; together they spell the text, and all but the blanks are tokens.
 PIECES = r"[\p{L}\p{N}_]+|\s+|[^\p{L}\p{N}_\s]"
-_BLOCK = 256
+TOKENS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+_BLANKS = " \t\n\x0b\f\r"
+_BLOCK = 128
 #: Tokens that a model adds around each chunk, and characters of context kept on both sides of a chunk.
 SPECIALS, MARGIN = 2, 31
 TOKEN = "struct<word:string,start:int,end:int>"
+#: What gives a text's tokens: an array of (word, start, end).
+Tokens = Callable[[Column], Column]
+
+
+def token_count(text: Column) -> Column:
+    return F.regexp_count(text, F.lit(TOKENS))
+
+
+def running_sums(numbers: Column) -> Column:
+    """Array of the sums of the elements up to each one."""
+    from spanloom.functions.chars import let
+
+    def summed(values: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int"))
+        grow = lambda acc, n: F.array_append(acc, F.element_at(acc, -1) + n)
+        within = F.transform(blocks, lambda b: F.aggregate(F.slice(values, b * _BLOCK + 1, _BLOCK), F.array(F.lit(0)), grow))
+
+        def placed(parts: Column) -> Column:
+            before = F.aggregate(parts, F.array(F.lit(0)), lambda acc, p: F.array_append(acc, F.element_at(acc, -1) + F.element_at(p, -1)))
+            return let(before, lambda b: F.flatten(F.transform(parts, lambda p, k: F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x: x + F.get(b, k)))))
+
+        return F.when(F.size(values) > 0, let(within, placed)).otherwise(F.array().cast("array<int>"))
+
+    return let(numbers, summed)
 
 
 def tokens(text: Column) -> Column:
     """Array of (word, start, end)."""
     from spanloom.functions.chars import let
 
-    def located(pieces: Column) -> Column:
-        blocks = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / _BLOCK).cast("int"))
-        block = lambda b: F.slice(pieces, b * _BLOCK + 1, _BLOCK)
-        lengths = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), lambda n, p: n + F.length(p)))
-        offsets = F.aggregate(
-            lengths,
-            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
-            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
-        )["out"]
+    # Each token with the blanks before it; blanks at the end are cut off first, as no token follows them.
+    text = F.rtrim(text, F.lit(_BLANKS))
+    pattern = F.lit(rf"(\s*+)({TOKENS})")
+    words, gaps = F.regexp_extract_all(text, pattern, F.lit(2)), F.regexp_extract_all(text, pattern, F.lit(1))
+    located = lambda w: F.zip_with(
+        w,
+        running_sums(F.zip_with(w, gaps, lambda x, g: F.length(x) + F.length(g))),
+        lambda x, end: F.struct(x.alias("word"), (end - F.length(x)).alias("start"), end.alias("end")),
+    )
+    return let(words, located).cast(f"array<{TOKEN}>")
+
+
+def tokenizer_tokens(path: str) -> Tokens:
+    """Tokens of a tokenizer file (JSON of the tokenizers library), without special tokens: words are the characters that a token stands for.
+
+    The file is read once per Python process. A text that the tokenizer fails on has null tokens, and the job goes on.
+    """
+    @F.arrow_udf(f"array<{TOKEN}>")
+    def located(texts: pa.Array) -> pa.Array:
+        from tokenizers import Tokenizer
+
+        if path not in _LOADED:
+            _LOADED[path] = Tokenizer.from_file(path)
+            _LOADED[path].no_truncation()
+        out: list[list[dict] | None] = []
+        for text in texts.to_pylist():
+            try:
+                found = _LOADED[path].encode(text, add_special_tokens=False).offsets
+                out.append([{"word": text[a:b], "start": a, "end": b} for a, b in found])
+            except Exception:  # noqa: BLE001  one bad text doesn't end the job
+                out.append(None)
+        kind = pa.struct([("word", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+        return pa.array(out, pa.list_(kind))
+
+    return lambda text: located(text)
 
-        def one(b: Column, offset: Column) -> Column:
-            def step(acc: Column, p: Column) -> Column:
-                end = acc["at"] + F.length(p)
-                token = F.struct(p.alias("word"), acc["at"].alias("start"), end.alias("end")).cast(TOKEN)
-                return F.struct(end.alias("at"), F.when(p.rlike(r"^\s"), acc["out"]).otherwise(F.array_append(acc["out"], token)).alias("out"))
 
-            return F.aggregate(block(b), F.struct(offset.alias("at"), F.array().cast(f"array<{TOKEN}>").alias("out")), step)["out"]
+_LOADED: dict = {}
 
-        every = F.flatten(F.zip_with(blocks, offsets, one))
-        return F.when(F.size(pieces) > 0, every).otherwise(F.array().cast(f"array<{TOKEN}>"))
 
-    return let(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)), located)
+def failed(docs: DataFrame, tokens: Tokens = tokens) -> DataFrame:
+    """(doc_id): documents whose tokens cannot be found; ``chunk_rows`` leaves them out."""
+    return docs.where(F.col("text").isNotNull()).select("doc_id", tokens(F.col("text").cast("string")).alias("tokens")).where("tokens IS NULL").select("doc_id")
 
 
 def stride(max_tokens: int, overlap_ratio: float) -> int:
@@ -50,8 +100,8 @@ def stride(max_tokens: int, overlap_ratio: float) -> int:
     return int(max_tokens * overlap_ratio) if overlap_ratio > 0 else 0
 
 
-def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0) -> DataFrame:
-    """``docs`` (doc_id, text) as chunks in order; a text without tokens is one empty chunk.
+def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, tokens: Tokens = tokens) -> DataFrame:
+    """``docs`` (doc_id, text) as chunks in order; a text without tokens is one empty chunk, one with null tokens is left out.
 
     Columns: doc_id, chunk_id, total_chunks, text, global_start, global_end, token_count (with the specials),
     tokens (offsets in the document), and ``before`` and ``after``, the document's text on both sides.
@@ -62,9 +112,9 @@ def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.
         raise ValueError("chunks must advance: less overlap or more tokens are needed")
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("document"))
     rows = rows.withColumn("tokens", tokens(F.col("document")))
-    total = F.greatest(F.ceil((F.size("tokens") - content) / step), F.lit(0)).cast("int") + 1
+    total = F.when(F.size("tokens") >= 0, F.greatest(F.ceil((F.size("tokens") - content) / step), F.lit(0)).cast("int") + 1)
     # The outer form: no filter on the array is inferred, which would compute all tokens once more.
-    rows = rows.withColumn("total_chunks", total).select("doc_id", "document", "tokens", "total_chunks", F.explode_outer(F.sequence(F.lit(0), F.col("total_chunks") - 1)).alias("chunk_id"))
+    rows = rows.withColumn("total_chunks", total).select("doc_id", "document", "tokens", "total_chunks", F.explode_outer(F.sequence(F.lit(0), F.col("total_chunks") - 1)).alias("chunk_id")).where(F.col("chunk_id").isNotNull())
     rows = rows.withColumn("tokens", F.slice("tokens", F.col("chunk_id") * step + 1, content))
     rows = rows.withColumn("global_start", F.coalesce(F.get("tokens", F.lit(0))["start"], F.lit(0)))
     rows = rows.withColumn("global_end", F.coalesce(F.try_element_at("tokens", F.lit(-1))["end"], F.lit(0)))

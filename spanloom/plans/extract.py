@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spanloom.functions import cleaning, expansion
 from spanloom.functions.expansion import ExpansionConfig
-from spanloom.operators import assembly, chunking, grouping, tagging
+from spanloom.operators import assembly, chunking, grouping, metrics, tagging
 
 Tagger = Callable[[DataFrame], DataFrame]
 
 
-def tagged(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, tagger: Tagger = tagging.rule) -> DataFrame:
+def tagged(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, tagger: Tagger = tagging.rule, tokens: chunking.Tokens = chunking.tokens) -> DataFrame:
     """Chunk rows with predictions."""
-    return tagger(chunking.chunk_rows(docs, max_tokens, overlap_ratio))
+    return tagger(chunking.chunk_rows(docs, max_tokens, overlap_ratio, tokens))
 
 
 def grouped(docs: DataFrame, min_confidence: float = 0.5, **chunked) -> DataFrame:
@@ -47,9 +47,10 @@ def final_entities(entities: DataFrame, config: ExpansionConfig = ExpansionConfi
     )
 
 
-def extract(docs: DataFrame, expand: bool = True, config: ExpansionConfig = ExpansionConfig(), confidence: bool = True, positions: bool = True, unicode: bool = True, **options) -> DataFrame:
-    """The rows of the result table for ``docs`` (doc_id, text)."""
-    entities = grouping.entity_rows(grouped(docs, **options))
+def extract(docs: DataFrame, expand: bool = True, config: ExpansionConfig = ExpansionConfig(), confidence: bool = True, positions: bool = True, unicode: bool = True, seen: Observation | None = None, **options) -> DataFrame:
+    """The rows of the result table for ``docs`` (doc_id, text); ``seen`` gets the counts of chunks and entities when they are made."""
+    chunks = grouped(docs, **options)
+    entities = grouping.entity_rows(metrics.observed_chunks(chunks, seen) if seen else chunks)
     if expand:
         entities = final_entities(entities, config, unicode)
     return assembly.output_rows(entities, confidence, positions)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spanloom.functions.chars import BRACKETS, PAIRS, PUNCTUATION, PUNCTUATION_END, QUOTES, STOP_WORDS, WORD_BREAKS, char_class
+from spanloom.functions.chars import ABBREVIATIONS, BRACKETS, PAIRS, PUNCTUATION, PUNCTUATION_END, QUOTES, STOP_WORDS, WORD_BREAKS, char_class
 from spanloom.operators.chunking import MARGIN, PIECES, SPECIALS, stride
 from spanloom.operators.tagging import MARK, PIECE
 
@@ -99,7 +99,25 @@ def paired(text: str) -> str:
     return text
 
 
-def without_prefix(text: str) -> str:
-    """Without place abbreviations: the tables hold none."""
-    marks = char_class(PUNCTUATION + " \n\t\r")
-    return f"regexp_replace(regexp_replace({text}, '^{marks}+', ''), '{marks}+$', '')"
+# What may stand before a place's name, and near misses.
+PREFIXED = (
+    "", "г. ", "г.", "пос. г. ", " г. ", "ст-ца  ", "ПОС. ", "д. ", "с. п. ", "с.п. ", "п.с. ", "г.о. г.п. ", "сл.\t", "-- гп. , дер. ", "г. .,", "г. — пгт. ", "пос.: ст. * ",
+)
+# Strings and their compatibility forms, each ending in a blank so that what follows doesn't change.
+COMPATIBILITY = (("", ""), ("Дом № 5 ", "Дом No 5 "), ("так… ", "так... "), ("a\u00a0b ", "a b "), ("½ x² ", "1⁄2 x2 "), ("ﬁn ", "fin "), ("Ⅻ ", "XII "), ("ｆｕｌｌ ", "full "), ("e\u0301 ", "é "))
+
+
+def one_of(strings) -> str:
+    """The string that a line gets by its number and its document's."""
+    return f"([{_quoted(strings)}])[((doc_id + line) % {len(strings)}) + 1]"
+
+
+def without_prefix(text: str, rounds: int = 10) -> str:
+    """Place abbreviations off the start, blanks and punctuation off both ends, more often than any string here needs."""
+    short = "|".join(a.replace(".", "\\.") for a in ABBREVIATIONS)
+    marks, blanks = char_class(PUNCTUATION), "[\\s\\x{A0}]"
+    for _ in range(rounds):
+        text = f"regexp_replace({text}, '(?i)^(?:{short})({blanks}+|$)', '')"
+        text = f"regexp_replace({text}, '^{blanks}+|{blanks}+$', '', 'g')"
+        text = f"regexp_replace({text}, '^{marks}+|{marks}+$', '', 'g')"
+    return text

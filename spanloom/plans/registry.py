@@ -13,6 +13,7 @@ from spanloom.plans import extract as plan
 from spanloom.plans import oracle
 from spanloom.schemas import OUTPUT_ROW
 from spanloom.sources import tables
+from spanloom.sources.files import shared_dir
 from spanloom.streaming import extract as stream
 
 OVERLAP = 0.25
@@ -28,12 +29,17 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.documents(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def _work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for queries that take more than a scan: over all cores also where the table is one small file."""
+    return tables.spread(_docs(spark, sf_dir))
+
+
 def _chunks(spark: SparkSession, sf_dir: str, max_tokens: int = 512, overlap: float = 0.0) -> DataFrame:
-    return chunking.chunk_rows(_docs(spark, sf_dir), max_tokens, overlap)
+    return chunking.chunk_rows(_work(spark, sf_dir), max_tokens, overlap)
 
 
 def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouping.entity_rows(plan.grouped(_docs(spark, sf_dir)))
+    return grouping.entity_rows(plan.grouped(_work(spark, sf_dir)))
 
 
 def _predictions(rows: DataFrame) -> DataFrame:
@@ -41,13 +47,8 @@ def _predictions(rows: DataFrame) -> DataFrame:
 
 
 def _shared(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share; a local one where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="spanloom-")
-    return f"{base}/{uuid.uuid4().hex}"
+    """A new folder below the one that driver and executors share."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
 
 
 # Scans.
@@ -78,11 +79,11 @@ def text_column_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Tokens and chunks.
 def tokenize_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", F.inline_outer(chunking.tokens(F.col("text")))).where(F.col("start").isNotNull()).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _work(spark, sf_dir).select("doc_id", F.inline_outer(chunking.tokens(F.col("text")))).where(F.col("start").isNotNull()).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
 def tokens_per_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", F.size(chunking.tokens(F.col("text"))).cast("long").alias("tokens"))
+    return _work(spark, sf_dir).select("doc_id", chunking.token_count(F.col("text")).cast("long").alias("tokens"))
 
 
 _SPAN = ("doc_id", "chunk_id", "total_chunks", "global_start", "global_end", "token_count")
@@ -106,20 +107,20 @@ def long_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Predictions.
 def tag_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(plan.tagged(_docs(spark, sf_dir))).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _predictions(plan.tagged(_work(spark, sf_dir))).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
 def confidence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(tagging.confident(plan.tagged(_docs(spark, sf_dir)))).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
+    return _predictions(tagging.confident(plan.tagged(_work(spark, sf_dir)))).withColumnsRenamed({"start": "start_pos", "end": "end_pos"})
 
 
 def offset_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _predictions(tagging.shifted(tagging.confident(plan.tagged(_docs(spark, sf_dir))))).select("doc_id", "chunk_id", "idx", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"))
+    return _predictions(tagging.shifted(tagging.confident(plan.tagged(_work(spark, sf_dir))))).select("doc_id", "chunk_id", "idx", F.col("start").alias("start_pos"), F.col("end").alias("end_pos"))
 
 
 # Groups and entities.
 def bio_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = plan.grouped(_docs(spark, sf_dir)).select("doc_id", "chunk_id", F.posexplode_outer("groups").alias("grp", "g")).where(F.col("grp").isNotNull())
+    rows = plan.grouped(_work(spark, sf_dir)).select("doc_id", "chunk_id", F.posexplode_outer("groups").alias("grp", "g")).where(F.col("grp").isNotNull())
     return rows.select("doc_id", "chunk_id", "grp", F.posexplode(F.transform("g", lambda p: p["idx"])).alias("place", "idx")).drop("place")
 
 
@@ -128,7 +129,7 @@ def bio_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_type_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _predictions(plan.tagged(_docs(spark, sf_dir)))
+    rows = _predictions(plan.tagged(_work(spark, sf_dir)))
     return rows.groupBy("label", grouping.entity_type(F.col("label")).alias("type")).agg(F.count("*").alias("predictions"))
 
 
@@ -146,7 +147,7 @@ def doc_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overlap_entities_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = grouping.entity_rows(plan.grouped(_docs(spark, sf_dir), max_tokens=SMALL, overlap_ratio=OVERLAP))
+    rows = grouping.entity_rows(plan.grouped(_work(spark, sf_dir), max_tokens=SMALL, overlap_ratio=OVERLAP))
     return assembly.without_repeats(rows).select("doc_id", "type", "start_pos", "end_pos")
 
 
@@ -180,28 +181,42 @@ def expand_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Cleaning, over all lines of the documents.
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    return _work(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
 
 
 def _line_query(step):
     return lambda spark, sf_dir: _lines(spark, sf_dir).select("doc_id", "line", step(F.col("text")).alias("text"))
 
 
+def clean_loc_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line after one of the strings of place abbreviations."""
+    lines = _lines(spark, sf_dir)
+    before = F.get(F.array(*map(F.lit, oracle.PREFIXED)), F.pmod(F.col("doc_id") + F.col("line"), F.lit(len(oracle.PREFIXED))).cast("int"))
+    return lines.select("doc_id", "line", cleaning.without_prefix(F.concat(before, "text")).alias("text"))
+
+
+def clean_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line after one of the strings that have another compatibility form."""
+    lines = _lines(spark, sf_dir)
+    before = F.get(F.array(*(F.lit(a) for a, _ in oracle.COMPATIBILITY)), F.pmod(F.col("doc_id") + F.col("line"), F.lit(len(oracle.COMPATIBILITY))).cast("int"))
+    return lines.select("doc_id", "line", cleaning.normalised(F.concat(before, "text")).alias("text"))
+
+
 def clean_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.final_entities(_entities(spark, sf_dir)).select(*_KEY, "text", "cleaned")
 
 
 # Results.
 def output_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.extract(_docs(spark, sf_dir))
+    return plan.extract(_work(spark, sf_dir))
 
 
 def output_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.extract(_docs(spark, sf_dir), expand=False, positions=False)
+    return plan.extract(_work(spark, sf_dir), expand=False, positions=False)
 
 
 def output_no_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plan.extract(_docs(spark, sf_dir), confidence=False)
+    return plan.extract(_work(spark, sf_dir), confidence=False)
 
 
 def entities_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +224,7 @@ def entities_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.run_stats(plan.grouped(_docs(spark, sf_dir)))
+    return metrics.run_stats(plan.grouped(_work(spark, sf_dir)))
 
 
 def expansion_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +279,8 @@ QUERIES = {
     "clean_whitespace": _line_query(lambda t: cleaning.collapsed(cleaning.without_controls(t))),
     "clean_edges": _line_query(cleaning.edges),
     "clean_pairs": _line_query(cleaning.paired),
-    "clean_loc_prefix": _line_query(cleaning.without_prefix),
+    "clean_loc_prefix": clean_loc_prefix,
+    "clean_compatibility": clean_compatibility,
     "clean_entities": clean_entities,
     "output_rows": output_rows,
     "output_plain": output_plain,
@@ -319,7 +335,8 @@ ORACLE_SQL: dict[str, str] = {
     "clean_whitespace": _LINE.format(oracle.collapsed("text")),
     "clean_edges": _LINE.format(oracle.edges("text")),
     "clean_pairs": _LINE.format(oracle.paired("text")),
-    "clean_loc_prefix": _LINE.format(oracle.without_prefix("text")),
+    "clean_loc_prefix": _LINE.format(oracle.without_prefix(oracle.one_of(oracle.PREFIXED) + " || text")),
+    "clean_compatibility": _LINE.format(oracle.one_of([b for _, b in oracle.COMPATIBILITY]) + " || text"),
     "clean_entities": oracle.with_chain("grown", f"SELECT doc_id, chunk_id, ent_idx, {_CLEANED} AS text, {_CLEANED} <> new_text AS cleaned FROM ({_FINAL})"),
     "output_rows": oracle.with_chain("grown", _ROWS),
     "output_plain": oracle.with_chain("entity", "SELECT doc_id, type AS entity_type, text AS entity_text, confidence FROM entity"),

@@ -24,6 +24,13 @@ def documents(table: DataFrame, id_column: str = "id", preferred: str = "content
     return out.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
 
 
+def spread(docs: DataFrame, least: int | None = None) -> DataFrame:
+    """``docs`` in ``least`` partitions or more (as many as cores, unless given): a small corpus in few files is dealt out, a large one stays
+    as it is read."""
+    least = least or docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(least) if docs.rdd.getNumPartitions() < least else docs
+
+
 def after(docs: DataFrame, last_id: int) -> DataFrame:
     """Documents past an id; the predicate reaches the scan."""
     return docs.where(F.col("doc_id") > last_id)

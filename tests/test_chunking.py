@@ -60,3 +60,52 @@ def test_reassembly_needs_every_chunk(docs):
     assert whole[4] == TEXTS[4]
     assert assembly.incomplete(chunks).count() == 0
     assert {r.doc_id for r in assembly.incomplete(chunks.where("chunk_id <> 1")).collect()} == {7, 8, 9}
+
+
+def tokenizer_file():
+    try:
+        import public_tokenizers
+    except ImportError:
+        pytest.skip("no tokenizer files here")
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_chunks_by_a_tokenizer(docs):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file()
+    plain = Tokenizer.from_file(path)
+    rows = chunking.chunk_rows(docs, 64, 0.25, chunking.tokenizer_tokens(path)).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.doc_id, []).append(r)
+        assert r.text == TEXTS[r.doc_id][r.global_start : r.global_end] and r.token_count <= 64
+    step = 62 - chunking.stride(64, 0.25)
+    for doc, own in by.items():
+        offsets = plain.encode(TEXTS[doc], add_special_tokens=False).offsets
+        own.sort(key=lambda r: r.chunk_id)
+        assert [r.chunk_id for r in own] == list(range(max(0, -(-(len(offsets) - 62) // step)) + 1))
+        for r in own:
+            part = offsets[r.chunk_id * step :][:62]
+            assert [(t.start, t.end) for t in r.tokens] == part and r.token_count == len(part) + 2
+    assert sorted(by) == list(range(len(TEXTS)))
+
+
+def test_a_document_that_fails_is_left_out_and_named(docs):
+    bad = lambda text: F.when(F.length(text) == 1, F.lit(None)).otherwise(chunking.tokens(text))
+    assert {r.doc_id for r in chunking.chunk_rows(docs, 512, 0.0, bad).collect()} == set(range(len(TEXTS))) - {2}
+    assert [r.doc_id for r in chunking.failed(docs, bad).collect()] == [2]
+    assert chunking.failed(docs).count() == 0
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 127, 128, 129, 1000):
+        got = spark.range(1).select(chunking.running_sums(F.slice(F.sequence(F.lit(1), F.lit(1000)), 1, F.lit(n))).alias("s")).first().s
+        assert got == [k * (k + 1) // 2 for k in range(1, n + 1)]
+
+
+def test_a_small_corpus_is_dealt_out(spark):
+    from spanloom.sources import tables
+
+    assert tables.spread(spark.range(0, 10, 1, 2), 5).rdd.getNumPartitions() == 5
+    assert tables.spread(spark.range(0, 10, 1, 9), 5).rdd.getNumPartitions() == 9

@@ -1,4 +1,4 @@
-"""Settings by section, from YAML. Unknown keys are passed over; keys marked inert are accepted and change nothing."""
+"""Settings from YAML, grouped by what they steer. Keys that nothing here reads are passed over."""
 
 from __future__ import annotations
 
@@ -8,44 +8,34 @@ from typing import Any
 
 from spanloom.functions.expansion import ExpansionConfig
 
-
-def _section(kind: type, values: dict[str, Any] | None):
-    known = {f.name for f in fields(kind)}
-    return kind(**{k: v for k, v in (values or {}).items() if k in known})
+# The names of sections and keys, and their defaults, are the file format's.
 
 
 @dataclass(frozen=True)
 class SourceConfig:
-    type: str = "parquet"  #: the format that is read
+    """Where documents come from. ``type`` is a format of Spark's readers, with ``table`` as its path; ``keyset``, a table that any
+    Python database driver reaches (``module``); or ``mysql``, the same over pymysql."""
+
+    type: str = "parquet"
     host: str = "localhost"
     port: int = 9306
     table: str = "documents"
     batch_size: int = 1000
     connection_timeout: int = 30
+    module: str = "pymysql"
+    connect: dict = field(default_factory=dict)  #: further arguments of the driver's connect(), over those above
+    partitions: int = 8
 
 
 @dataclass(frozen=True)
 class ModelConfig:
+    """``name`` is the tagger: ``rule`` or a token-classification model. ``tokenizer`` is a tokenizer file that chunks are cut by."""
+
     name: str = "rule"
+    tokenizer: str = ""
     max_tokens: int = 512
     overlap_ratio: float = 0.0
     min_confidence: float = 0.5
-    include_positions: bool = False  #: inert; positions are always kept
-
-
-@dataclass(frozen=True)
-class QueueConfig:
-    """Inert: Spark's tasks need no queues."""
-
-    queue1_size: int = 1000
-    queue2_size: int = 20000
-    queue3_size: int = 5000
-
-
-@dataclass(frozen=True)
-class TokenizerConfig:
-    num_workers: int = 4  #: partitions that are read at least
-    prefetch_size: int = 100  #: inert
 
 
 @dataclass(frozen=True)
@@ -62,55 +52,39 @@ class OutputConfig:
     delimiter: str = "|"
     include_confidence: bool = True
     include_positions: bool = False
-    flush_interval: int = 60  #: inert
-    buffer_size: int = 1000  #: inert
     enable_expansion: bool = False
     expansion: ExpansionConfig = field(default_factory=ExpansionConfig)
 
 
-@dataclass(frozen=True)
-class CheckpointConfig:
-    file: str = "./checkpoint"  #: the stream's checkpoint folder
-    save_interval: int = 1000  #: inert; each micro-batch commits
-
-
-@dataclass(frozen=True)
-class LoggingConfig:
-    """Inert but for ``verbose``."""
-
-    level: str = "INFO"
-    file: str = ""
-    format: str = ""
-    verbose: bool = False
-
-
 @dataclass(frozen=True)
 class Config:
     source: SourceConfig = field(default_factory=SourceConfig)
     model: ModelConfig = field(default_factory=ModelConfig)
-    queues: QueueConfig = field(default_factory=QueueConfig)
-    tokenizer: TokenizerConfig = field(default_factory=TokenizerConfig)
-    gpu_devices: tuple[DeviceConfig, ...] = ()
+    devices: tuple[DeviceConfig, ...] = ()
     output: OutputConfig = field(default_factory=OutputConfig)
-    checkpoint: CheckpointConfig = field(default_factory=CheckpointConfig)
-    logging: LoggingConfig = field(default_factory=LoggingConfig)
+    workers: int = 4  #: partitions of documents, at least
+    checkpoint: str = "./checkpoint"  #: the folder of the run's state
+    verbose: bool = False
 
     @classmethod
     def from_dict(cls, values: dict[str, Any]) -> Config:
-        output = dict(values.get("output") or {})
-        params = dict(output.pop("expansion_params", None) or {})
+        def section(kind: type, name: str, **more: Any):
+            given = (values.get(name) or {}) | more
+            return kind(**{f.name: given[f.name] for f in fields(kind) if f.name in given})
+
+        params = dict((values.get("output") or {}).get("expansion_params") or {})
         if "expand_entity_types" in params:
             params["expand_entity_types"] = tuple(params["expand_entity_types"])
-        output["expansion"] = _section(ExpansionConfig, params)
+        expansion = ExpansionConfig(**{f.name: params[f.name] for f in fields(ExpansionConfig) if f.name in params})
+        one = lambda name, key, default: (values.get(name) or {}).get(key, default)
         return cls(
-            source=_section(SourceConfig, values.get("source")),
-            model=_section(ModelConfig, values.get("model")),
-            queues=_section(QueueConfig, values.get("queues")),
-            tokenizer=_section(TokenizerConfig, values.get("tokenizer")),
-            gpu_devices=tuple(_section(DeviceConfig, d) for d in values.get("gpu_devices") or ()),
-            output=_section(OutputConfig, output),
-            checkpoint=_section(CheckpointConfig, values.get("checkpoint")),
-            logging=_section(LoggingConfig, values.get("logging")),
+            section(SourceConfig, "source"),
+            section(ModelConfig, "model"),
+            tuple(DeviceConfig(**{f.name: d[f.name] for f in fields(DeviceConfig) if f.name in d}) for d in values.get("gpu_devices") or ()),
+            section(OutputConfig, "output", expansion=expansion),
+            one("tokenizer", "num_workers", cls.workers),
+            one("checkpoint", "file", cls.checkpoint),
+            one("logging", "verbose", cls.verbose),
         )
 
 

@@ -80,8 +80,12 @@ def from_model(chunks: DataFrame, make: Callable[[], Callable[[list[str]], list[
     return chunks.mapInPandas(run, schema)
 
 
-def transformers_model(name: str, device: int = -1, half: bool = False) -> Callable:
-    """A ``make`` for :func:`from_model` around a token-classification model, if its libraries are installed."""
+def transformers_model(name: str, devices: list[int] | None = None, half: bool = False) -> Callable:
+    """A ``make`` for :func:`from_model` around a token-classification model, if its libraries are installed.
+
+    Of several devices a task takes the one that Spark assigned to it (``spark.task.resource.gpu.amount``), or else its own in turn.
+    """
+    devices = devices or [-1]
 
     def make():
         try:
@@ -89,12 +93,23 @@ def transformers_model(name: str, device: int = -1, half: bool = False) -> Calla
             from transformers import pipeline
         except ImportError as e:
             raise RuntimeError("the model backend needs the packages torch and transformers") from e
-        ner = pipeline("ner", model=name, device=device, aggregation_strategy=None, torch_dtype=torch.float16 if half else torch.float32)
+        ner = pipeline("ner", model=name, device=device_of_task(devices), aggregation_strategy=None, torch_dtype=torch.float16 if half else torch.float32)
         return lambda texts: ner(texts)
 
     return make
 
 
+def device_of_task(devices: list[int]) -> int:
+    """The device of the running task."""
+    from pyspark import TaskContext
+
+    task = TaskContext.get()
+    if task is None:
+        return devices[0]
+    given = task.resources().get("gpu")
+    return int(given.addresses[0]) if given else devices[task.partitionId() % len(devices)]
+
+
 def confident(tagged: DataFrame, min_confidence: float = 0.5) -> DataFrame:
     """Only predictions of that score or more, before they are grouped; their numbers close up."""
     return tagged.withColumn("predictions", numbered(F.filter("predictions", lambda p: p["score"] >= min_confidence)))

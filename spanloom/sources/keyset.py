@@ -17,6 +17,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
+class DriverMissing(RuntimeError):
+    pass
+
+
 class KeyRange(InputPartition):
     """Keys after ``low`` up to ``high``."""
 
@@ -43,7 +47,7 @@ class _Table:
         try:
             driver = importlib.import_module(self.module)
         except ImportError as e:
-            raise RuntimeError(f"the database driver {self.module} is not installed") from e
+            raise DriverMissing(f"the database driver {self.module} is not installed") from e
         return driver.connect(**self.arguments)
 
     def bounds(self) -> tuple[int, int]:
@@ -58,29 +62,31 @@ class _Table:
 
     def rows(self, low: int, high: int) -> Iterator[tuple[int, str | None]]:
         at, failures, connection = low, 0, None
-        while at < high:
-            try:
-                connection = connection or self.connect()
-                cursor = connection.cursor()
-                cursor.execute(f"SELECT {self.id}, {self.text} FROM {self.table} WHERE {self.id} > {at} AND {self.id} <= {high} ORDER BY {self.id} LIMIT {self.size}")
-                got = cursor.fetchall()
-            except RuntimeError:
-                raise
-            except Exception:
-                failures += 1
-                if failures > self.retries:
+        try:
+            while at < high:
+                try:
+                    connection = connection or self.connect()
+                    cursor = connection.cursor()
+                    cursor.execute(f"SELECT {self.id}, {self.text} FROM {self.table} WHERE {self.id} > {at} AND {self.id} <= {high} ORDER BY {self.id} LIMIT {self.size}")
+                    got = cursor.fetchall()
+                except DriverMissing:
                     raise
-                connection = None
-                time.sleep(self.wait)
-                continue
-            failures = 0
-            if not got:
-                break
-            for row in got:
-                at = int(row[0])
-                yield at, None if row[1] is None else str(row[1])
-        if connection is not None:
-            connection.close()
+                except Exception:
+                    failures += 1
+                    if failures > self.retries:
+                        raise
+                    connection = None
+                    time.sleep(self.wait)
+                    continue
+                failures = 0
+                if not got:
+                    break
+                for row in got:
+                    at = int(row[0])
+                    yield at, None if row[1] is None else str(row[1])
+        finally:  # also when the reader is given up
+            if connection is not None:
+                connection.close()
 
 
 class _Batch(DataSourceReader):

@@ -7,11 +7,12 @@ others are dealt out by pre-token, each distinct one is counted once, and the pr
 frequency are summed by document within the task before they go back to their block.
 
 Null texts count as empty. Repeated ids and further columns do no harm: one row out for one row in, under a
-row number of its own. A block is at most ``BLOCK_CHARS`` long unless one text alone is longer.
+row number of its own. The vocabulary file states how texts are cut; one whose added tokens take in blanks beside them is refused. A block is at most ``BLOCK_CHARS`` long unless one text alone is longer.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -28,7 +29,18 @@ BLOCK_CHARS, BLOCK_DOCS = 32_000_000, 60_000
 #: A pre-token in more documents of a block than this is counted in the block.
 HOT = 64
 
-# The pre-tokenizer's pattern, and the same for texts that have Latin-1 characters only.
+# A normaliser and pre-tokenizer as vocabulary files state them, and one pattern that does what both do to texts of
+# Latin-1 characters. It is used if the file states just these; else the library cuts every text.
+_STATED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 _LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\s\x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
 _BEYOND_LATIN = re.compile(r"[^\x00-\x1b\x20-\xff]")  # Python's \s also has \x1c to \x1f
 
@@ -42,7 +54,12 @@ class PieceCounter:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        special = sorted((t.content for t in self.library.get_added_tokens_decoder().values()), key=len, reverse=True)
+        added = self.library.get_added_tokens_decoder().values()
+        if self.library.pre_tokenizer is None or any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+            raise ValueError(f"{path} has no pre-tokenizer, or added tokens that take what stands beside them")
+        stated = json.loads(self.library.to_str())
+        self.latin = all(stated[k] == v for k, v in _STATED.items())
+        special = sorted((t.content for t in added), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
 
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
@@ -53,9 +70,9 @@ class PieceCounter:
         return [w for part in parts for w in self._plain(part)], len(parts) - 1
 
     def _plain(self, text: str) -> list[str]:
-        if not _BEYOND_LATIN.search(text):
+        if self.latin and not _BEYOND_LATIN.search(text):
             return _LATIN.findall(text.lower())
-        normal = self.library.normalizer.normalize_str(text)
+        normal = self.library.normalizer.normalize_str(text) if self.library.normalizer else text
         return [normal[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
     def pieces(self, words: list[str]) -> list[int]:

@@ -12,10 +12,11 @@ hash, and epochs follow each other; a document is taken in an epoch if the token
 the leaf's budget. Sources with more budget than tokens are thus repeated, whole epochs first.
 
 Hot leaves: the order's prefix is found by bins of the hash, so that tokens are partial sums by leaf and bin and only
-the documents of the one bin where the budget ends are put in order; a leaf, however large, is never sorted whole.
+the ids of the one bin where the budget ends are put in order, without their texts; a leaf, however large, is never sorted whole.
 
-Tokens are runs of characters other than blanks. Null texts have none; rows without tokens are never taken. Null
-languages and sources are leaves like others. Rows that repeat an id are taken one by one, ties in the order of text.
+Tokens are runs of characters other than blanks, in texts of any length. Null texts have none; rows without tokens are never taken. Null
+languages and sources are leaves like others. Rows that repeat an id are taken one by one, ties in the order of text. Further columns
+stay as they are, but ``domain``, ``n_tokens`` and ``epoch`` are replaced.
 """
 
 from __future__ import annotations
@@ -101,11 +102,12 @@ def budgets(leaves: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` (doc_id, text, lang, source, ...) as taken, with columns domain, n_tokens and epoch (from 0) after the others."""
     s = settings
-    own = [c for c in docs.columns if c not in ("domain", "n_tokens", "epoch")]
-    base = docs.select(*own, domain(F.col("source"), s).alias("domain"))
+    own = [c for c in docs.columns if c.lower() not in ("domain", "n_tokens", "epoch")]
+    # All columns travel in one, so that none has the name of another.
+    base = docs.select(F.struct(*own).alias("row"), domain(F.col("source"), s).alias("domain"), "lang", "source")
     # Tokens are counted once into a narrow table, and again only for what is taken.
-    rows = written(base.select("doc_id", *LEVELS, token_count(F.col("text")).alias("n_tokens")).where("n_tokens > 0"))
-    spot = lambda epoch: F.md5(F.concat_ws(":", F.lit(s.seed), epoch.cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    rows = written(base.select("row.doc_id", *LEVELS, token_count(F.col("row.text")).alias("n_tokens")).where("n_tokens > 0"))
+    spot = lambda epoch, of="doc_id": F.md5(F.concat_ws(":", F.lit(s.seed), epoch.cast("string"), F.coalesce(F.col(of).cast("string"), F.lit(""))).cast("binary"))
     leaves = budgets(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), s)
     # Whole epochs, and the tokens to take of the one after them.
     whole = F.least(F.floor(F.col("budget") / F.col("tokens")), F.lit(s.epochs)).cast("int")
@@ -126,17 +128,26 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     cut = bins.where(F.col("__before") < F.col("__rest")).groupBy(*leaf, "__whole").agg(F.max(F.struct("__bin", (F.col("__rest") - F.col("__before")).alias("__take"))).alias("__cut"))
     plan = leaves.alias("p").join(cut.select(*(F.col(c).alias(f"{c}_") for c in leaf), "__cut"), (F.col("__domain").eqNullSafe(F.col("__domain_"))) & F.col("__lang").eqNullSafe(F.col("__lang_")) & F.col("__source").eqNullSafe(F.col("__source_")), "left").select(*leaf, "__whole", "__cut")
     plan = written(plan)
-    plan = F.broadcast(plan) if plan.limit(s.leaves + 1).count() <= s.leaves else plan
-    at = joined(base, plan).withColumn("__spot", spot(F.col("__whole"))).withColumn("__bin", F.substring("__spot", 1, s.digits))
+    few = plan.limit(s.leaves + 1).count() <= s.leaves
+    # Within that bin: running sums over its ids, without their texts, up to the one id where the budget ends.
+    inside = joined(rows, F.broadcast(plan) if few else plan).withColumn("__spot", spot(F.col("__whole"))).where(F.substring("__spot", 1, s.digits) == F.col("__cut.__bin"))
+    inside = inside.groupBy(*leaf, "__cut", "__spot").agg(F.sum("n_tokens").alias("__tokens"))
+    order = Window.partitionBy(*leaf).orderBy("__spot").rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("__left", F.col("__cut.__take") - F.coalesce(F.sum("__tokens").over(order), F.lit(0))).where("__left > 0")
+    ends = inside.groupBy(*leaf).agg(F.max(F.struct("__spot", "__left")).alias("__end"))
+    ends = ends.select(*(F.col(c).alias(f"{c}_") for c in leaf), "__end")
+    plan = written(plan.join(ends, F.col("__domain").eqNullSafe(F.col("__domain_")) & F.col("__lang").eqNullSafe(F.col("__lang_")) & F.col("__source").eqNullSafe(F.col("__source_")), "left").select(*leaf, "__whole", "__end"))
+    at = joined(base, F.broadcast(plan) if few else plan).withColumn("__spot", spot(F.col("__whole"), "row.doc_id"))
 
     epochs = F.when(F.col("__whole") > 0, F.sequence(F.lit(0), F.col("__whole") - 1)).otherwise(F.array().cast("array<int>"))
-    sure = F.when(F.col("__bin") < F.col("__cut.__bin"), F.concat(epochs, F.array("__whole"))).otherwise(epochs)
-    columns = [*own, "domain", "n_tokens"]
-    counted = lambda where: F.when(where, token_count(F.col("text"))).alias("n_tokens")
-    taken = at.withColumn("__sure", sure).select(*own, "domain", "__sure", counted(F.size("__sure") > 0)).where("n_tokens > 0").select(*columns, F.explode("__sure").alias("epoch"))
-    last = at.select(*own, "domain", "__spot", "__whole", "__cut", counted(F.col("__bin") == F.col("__cut.__bin"))).where("n_tokens > 0")
-    order = Window.partitionBy(*LEVELS).orderBy("__spot", "doc_id", "text").rowsBetween(Window.unboundedPreceding, -1)
-    last = last.withColumn("__before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where(F.col("__before") < F.col("__cut.__take"))
+    sure = F.when(F.col("__spot") < F.col("__end.__spot"), F.concat(epochs, F.array("__whole"))).otherwise(epochs)
+    columns = [*(F.col("row")[c].alias(c) for c in own), "domain", "n_tokens"]
+    counted = lambda where: F.when(where, token_count(F.col("row.text"))).alias("n_tokens")
+    taken = at.withColumn("__sure", sure).select("row", "domain", "__sure", counted(F.size("__sure") > 0)).where("n_tokens > 0").select(*columns, F.explode("__sure").alias("epoch"))
+    # The rows of that id, one unless ids repeat.
+    last = at.select("row", *LEVELS, "__whole", "__end", counted(F.col("__spot") == F.col("__end.__spot"))).where("n_tokens > 0")
+    order = Window.partitionBy(*LEVELS).orderBy("row.text").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.withColumn("__before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where(F.col("__before") < F.col("__end.__left"))
     return taken.union(last.select(*columns, F.col("__whole").alias("epoch")))
 
 

@@ -236,6 +236,25 @@ def test_small_sources_are_repeated_in_whole_epochs(spark):
     assert sum(r.n_tokens for r in rows if r.source == "src1") == 150
 
 
+def test_mixing_keeps_columns_of_any_name_and_long_texts(spark):
+    names = "row __spot __whole __end __end_ __domain __lang __source __sure __before __bin __tokens domain n_tokens epoch n".split()
+    rows = [(i, "w " * (300_000 if i == 3 else 10), "en", f"src{i % 2}", *range(i, i + len(names))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{c} long" for c in names))
+    own = [c for c in df.columns if c not in ("domain", "n_tokens", "epoch")]
+    got = mixing.mixed(df, mixing.Settings(weights={}))
+    assert got.columns == [*own, "domain", "n_tokens", "epoch"]
+    given = {r[0]: tuple(r[c] for c in own) for r in df.collect()}
+    out = got.collect()
+    assert out and all(tuple(r[c] for c in own) == given[r.doc_id] and r.domain == "head" for r in out)
+
+
+def test_the_end_of_a_budget_among_rows_of_one_id(spark):
+    rows = [(7, f"a{i} b", "en", "src1") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = mixing.mixed(df, mixing.Settings(share=0.35, weights={})).collect()
+    assert sorted(r.text for r in got) == [f"a{i} b" for i in range(4)]
+
+
 def test_mixing_edge_rows(spark):
     df = spark.createDataFrame([(1, None, "en", "src1", 1), (None, "a b c", "en", None, 1), (2, "x y z", None, "src1", 1), (2, "x y z", None, "src1", 1), (3, "", "de", "q", 1)], "doc_id long, text string, lang string, source string, epoch int")
     rows = mixing.mixed(df, mixing.Settings(share=1.0)).collect()

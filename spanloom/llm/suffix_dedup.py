@@ -18,7 +18,8 @@ they make one *stretch*. Then:
 Hot groups: equal stretches of a task are reduced to their first before the shuffle; a q-gram with very many
 different stretches (a common passage in many surroundings) is found beforehand; its stretches are dealt
 out by their own hash as well, and its windows by a 128-bit hash of their bytes, again reduced in the task
-first. The list of such q-grams has at most 2 * ``A`` / max(A / 1e6, HEAVY) <= 2e6 entries for A stretches.
+first. The list of such q-grams has at most 2 * ``A`` / max(A / 1e5, HEAVY) <= 2e5 entries for A stretches. One that has fewer than
+HEAVY_IN_TASK stretches among each GATHER gathered is not counted, so a task may get up to A / 75,000 of them.
 
 Rows of a null doc_id are left out; rows that repeat an id count as one document, the one of least text;
 null texts are empty. Long texts are taken in pieces that overlap, so no array grows with a text.
@@ -40,7 +41,7 @@ from spanloom.llm.rolling import Hasher, leftmost_minima
 LENGTH = 100
 #: Bytes hashed at once, and stretches gathered before equal ones are reduced.
 PIECE, GATHER = 1_500_000, 600_000
-#: A q-gram with so many different stretches, or a millionth of all, is dealt out by more than itself.
+#: A q-gram with so many different stretches, or a hundred-thousandth of all, is dealt out by more than itself.
 HEAVY, HEAVY_IN_TASK = 4096, 8
 
 _ROW = "gram long, stretch long, doc long, at long, heavy boolean"
@@ -282,7 +283,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     counted = docs.mapInArrow(_enter(length, None), _ROW).groupBy("gram", "stretch").agg(F.sum("doc").alias("n"))
     counted = written(counted)
     total = counted.where("stretch = 1").agg(F.sum("n")).first()[0] or 0
-    most = max(HEAVY, total // 1_000_000)
+    most = max(HEAVY, total // 100_000)
     heavy = frozenset(r["gram"] for r in counted.where((F.col("stretch") == 0) & (F.col("n") >= most // 2)).select("gram").collect())
     entered = docs.mapInArrow(_enter(length, heavy), _ROW)
     # Repeats that the entering task has found already only pass through: they go by document.

@@ -106,6 +106,9 @@ PREFIXED = (
 # Strings and their compatibility forms, each ending in a blank so that what follows doesn't change.
 COMPATIBILITY = (("", ""), ("Дом № 5 ", "Дом No 5 "), ("так… ", "так... "), ("a\u00a0b ", "a b "), ("½ x² ", "1⁄2 x2 "), ("ﬁn ", "fin "), ("Ⅻ ", "XII "), ("ｆｕｌｌ ", "full "), ("e\u0301 ", "é "))
 
+# Strings with control, format, private and unassigned characters, and what stays of them.
+CONTROLS = (("", ""), ("\u200bМос\u00adква ", "Москва "), ("a\u0007b\u0085c ", "abc "), ("\ufeffx\ty ", "x\ty "), ("p\ue000q\U000e0001 ", "pq "), ("\u0378z ", "z "))
+
 
 def one_of(strings) -> str:
     """The string that a line gets by its number and its document's."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -188,18 +189,26 @@ def _line_query(step):
     return lambda spark, sf_dir: _lines(spark, sf_dir).select("doc_id", "line", step(F.col("text")).alias("text"))
 
 
-def clean_loc_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line after one of the strings of place abbreviations."""
-    lines = _lines(spark, sf_dir)
-    before = F.get(F.array(*map(F.lit, oracle.PREFIXED)), F.pmod(F.col("doc_id") + F.col("line"), F.lit(len(oracle.PREFIXED))).cast("int"))
-    return lines.select("doc_id", "line", cleaning.without_prefix(F.concat(before, "text")).alias("text"))
+def _after(strings, step):
+    """A step over every line that stands after one of ``strings``, since the tables hold few of the characters that it is about."""
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before = F.get(F.array(*map(F.lit, strings)), F.pmod(F.col("doc_id") + F.col("line"), F.lit(len(strings))).cast("int"))
+        return _lines(spark, sf_dir).select("doc_id", "line", step(F.concat(before, "text")).alias("text"))
 
-def clean_compatibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line after one of the strings that have another compatibility form."""
-    lines = _lines(spark, sf_dir)
-    before = F.get(F.array(*(F.lit(a) for a, _ in oracle.COMPATIBILITY)), F.pmod(F.col("doc_id") + F.col("line"), F.lit(len(oracle.COMPATIBILITY))).cast("int"))
-    return lines.select("doc_id", "line", cleaning.normalised(F.concat(before, "text")).alias("text"))
+    return query
+
+
+def chunk_spans_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks by the tokens of a public tokenizer, from the folder that TOKENIZER_FILES names or the package that brings them."""
+    folder = os.environ.get("TOKENIZER_FILES", "")
+    if folder:
+        path = os.path.join(folder, "byte_bpe_50k.json")
+    else:
+        import public_tokenizers
+
+        path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return chunking.chunk_rows(_work(spark, sf_dir), tokens=chunking.tokenizer_tokens(path)).select(*_SPAN)
 
 
 def clean_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,6 +267,7 @@ QUERIES = {
     "tokens_per_doc": tokens_per_doc,
     "chunk_spans": chunk_spans,
     "chunk_spans_overlap": chunk_spans_overlap,
+    "chunk_spans_tokenizer": chunk_spans_tokenizer,
     "chunk_text": chunk_text,
     "long_docs": long_docs,
     "tag_tokens": tag_tokens,
@@ -279,8 +289,9 @@ QUERIES = {
     "clean_whitespace": _line_query(lambda t: cleaning.collapsed(cleaning.without_controls(t))),
     "clean_edges": _line_query(cleaning.edges),
     "clean_pairs": _line_query(cleaning.paired),
-    "clean_loc_prefix": clean_loc_prefix,
-    "clean_compatibility": clean_compatibility,
+    "clean_loc_prefix": _after(oracle.PREFIXED, cleaning.without_prefix),
+    "clean_compatibility": _after([a for a, _ in oracle.COMPATIBILITY], cleaning.normalised),
+    "clean_controls": _after([a for a, _ in oracle.CONTROLS], cleaning.without_controls),
     "clean_entities": clean_entities,
     "output_rows": output_rows,
     "output_plain": output_plain,
@@ -336,6 +347,7 @@ ORACLE_SQL: dict[str, str] = {
     "clean_edges": _LINE.format(oracle.edges("text")),
     "clean_pairs": _LINE.format(oracle.paired("text")),
     "clean_loc_prefix": _LINE.format(oracle.without_prefix(oracle.one_of(oracle.PREFIXED) + " || text")),
+    "clean_controls": _LINE.format(oracle.one_of([b for _, b in oracle.CONTROLS]) + " || text"),
     "clean_compatibility": _LINE.format(oracle.one_of([b for _, b in oracle.COMPATIBILITY]) + " || text"),
     "clean_entities": oracle.with_chain("grown", f"SELECT doc_id, chunk_id, ent_idx, {_CLEANED} AS text, {_CLEANED} <> new_text AS cleaned FROM ({_FINAL})"),
     "output_rows": oracle.with_chain("grown", _ROWS),

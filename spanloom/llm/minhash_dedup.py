@@ -12,13 +12,15 @@ first collection that only one set has are dropped before the second one is mult
 Groups: documents of one word sequence (by SHA-256) are one class, stood for by its smallest id. Of each bucket the
 member that meets the most others is the pivot, and each set is first compared with the pivot that it meets most
 often. A bucket whose members have met in one component is finished. Of the others, only sets stay that can still
-have a link: a set linked to one of another component has ``share`` per cent of its shingles, or more, in sets
-of other components, and that is one count over all shingles of the sets in open buckets. So documents that share a frequent
-passage, but not most of their text, leave before they are compared with each other.
+have a link: how many of a set's shingles are in sets of other components, one count over all shingles of the sets in open buckets,
+bounds what it has in common with any of them. So documents that share a frequent passage, but not most of their text, and
+those too far from a group of near copies leave before they are compared with each other. The sets that stay are brought together
+again by their rarest shingles, as many as any link needs one of, so that copies which differ in other places from
+a large group do not meet all of it.
 
-What stays open is compared bucket by bucket, the members outside its largest component with all members, in
+What is open then is compared group by group, the members outside its largest component with all members, in
 tiles of ``tile`` sets and ``held`` shingles a side, where intersections are counted without a pair being
-emitted; buckets of the same members are compared once. A tile gives a spanning forest of the links in it, and these
+emitted; groups of the same components are compared as one. A tile gives a spanning forest of the links in it, and these
 are confirmed on the sets of strings. Components come from star contraction over written tables. No bucket, class or
 component is gathered in one task or capped, and nothing depends on its size.
 
@@ -36,7 +38,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import components, one_per_id, spanning, written
@@ -49,7 +51,8 @@ class Settings:
     share: int = 75  #: per cent of the union that two linked sets have in common, or more
     rows: int = 3
     tables: int = 20
-    tile: int = 256
+    step: float = 1.005  #: from a class of sizes to the next
+    tile: int = 128
     held: int = 1_000_000
     seed: int = 5
 
@@ -193,32 +196,27 @@ def _compared(s: Settings):
     """One tile: links (u, v) between sets of different components, as many as a spanning forest needs."""
 
     def run(tile: pa.Table) -> pa.Table:
-        left = tile.column("left").to_numpy()
-        one, other = np.flatnonzero(left), np.flatnonzero(~left)
+        left, right = tile.column("left").to_numpy(), tile.column("right").to_numpy()
+        one, other = np.flatnonzero(left), np.flatnonzero(right)
         if not len(one) or not len(other):
             return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
         rep, component = tile.column("rep").to_numpy(), tile.column("component").to_numpy()
         hashes = tile.column("hashes").combine_chunks()
         size = hashes.value_lengths().to_numpy()
         doc, (_, column) = np.repeat(np.arange(len(rep)), size), np.unique(hashes.flatten().to_numpy(), return_inverse=True)
-        # Only shingles on both sides count for intersections; they are taken some columns at a time.
-        both = np.bincount(column, weights=left[doc]) * np.bincount(column, weights=~left[doc]) > 0
-        number = np.cumsum(both) - 1
-        use = both[column]
-        doc, column = doc[use], number[column[use]]
+        # Only shingles of some set on the left and another one count for intersections; they are taken some columns at a time.
+        use = (np.bincount(column) > 1) & (np.bincount(column, weights=left[doc]) > 0)
+        number = np.cumsum(use) - 1
+        doc, column = doc[use[column]], number[column[use[column]]]
         order = np.argsort(column, kind="stable")
         doc, column = doc[order], column[order]
-        row = np.empty(len(rep), np.int64)
-        row[one], row[other] = np.arange(len(one)), np.arange(len(other))
         common = np.zeros((len(one), len(other)))
         step = 4096
-        for start in range(0, int(both.sum()), step):
+        for start in range(0, int(use.sum()), step):
             at = slice(*np.searchsorted(column, [start, start + step]))
-            d, c = doc[at], column[at] - start
-            a, b = np.zeros((len(one), step), np.float32), np.zeros((len(other), step), np.float32)
-            a[row[d[left[d]]], c[left[d]]] = 1
-            b[row[d[~left[d]]], c[~left[d]]] = 1
-            common += a @ b.T
+            has = np.zeros((len(rep), step), np.float32)
+            has[doc[at], column[at] - start] = 1
+            common += has[one] @ has[other].T
         union = size[one][:, None] + size[other][None] - common
         linked = (100 * common >= s.share * union) & (component[one][:, None] != component[other][None])
         x, y = np.nonzero(linked)
@@ -241,30 +239,57 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.join(spread.where("low < high").select("key"), "key")
 
 
-def _live(rows: DataFrame, hashes: DataFrame, s: Settings) -> DataFrame:
-    """(rep) that may be linked to another component: ``share`` per cent of their shingles, or more, are in sets of others."""
-    each = rows.select("rep", "component").distinct().join(hashes, "rep").select("rep", "component", F.explode_outer("hashes").alias("h"))
-    spread = each.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("h")
-    held = each.join(spread, "h").groupBy("rep").agg(F.count("*").alias("shared"))
-    return hashes.select("rep", F.size("hashes").alias("n")).join(held, "rep").where(100 * F.col("shared") >= s.share * F.col("n")).select("rep")
+def _live(sets: DataFrame, hashes: DataFrame, s: Settings) -> DataFrame:
+    """(key, rep, component, n): groups of ``sets`` (rep, component) in one of which each pair meets that may be a link.
+
+    Two sets of different components have no more in common than either's number of shingles that sets of other components
+    have too, ``shared``. A link of x and y needs (100 + share) * common >= share * (n of x + n of y), so x can only be linked to sizes
+    for which it has as many shared ones. If it needs m in common with y, one of them is among all but the last m - 1 of x's shared
+    shingles in an order of all shingles, by the number of sets that have them, and of y's likewise. So sets
+    come together by these first ones, for each class of sizes by itself.
+    """
+    need = lambda n, other: F.ceil(s.share * (n + other) / (100 + s.share))
+    least, most = F.ceil(F.col("n") * s.share / 100), F.floor(F.col("n") * 100 / s.share)
+    of = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(s.step))).cast("int")
+    sizes = sets.join(hashes.select("rep", F.size("hashes").alias("n")), "rep").withColumn("own", of(F.col("n")))
+    # The classes that some set is of, and the least size that each may hold; there are no more than the logarithm of the largest set allows.
+    classes = F.broadcast(sizes.select(F.col("own").alias("other")).distinct().withColumn("low", F.floor(F.pow(F.lit(float(s.step)), F.col("other")))))
+    each = sets.join(hashes, "rep").select("rep", "component", F.explode_outer("hashes").alias("h"))
+    spread = each.groupBy("h").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"), F.count("*").alias("df"))
+    held = each.join(spread.where("lowest < highest").select("h", "df"), "h")
+    count = held.groupBy("rep").agg(F.count("*").alias("shared"))
+    sizes = written(sizes.join(count, "rep").where(F.col("shared") >= need(F.col("n"), least)))
+    pairs = sizes.withColumn("other", F.explode(F.sequence(of(least), of(most)))).join(classes, "other")
+    pairs = pairs.withColumn("first", F.col("shared") - need(F.col("n"), F.greatest("low", least)) + 1).where("first > 0")
+    ranked = held.join(sizes.select("rep"), "rep").withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("df", "h")))
+    first = ranked.join(pairs.drop("component"), "rep").where("place <= first")
+    groups = first.select(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "rep", "component", "n", "own", (F.col("own") != F.col("other")).alias("two"))
+    # A group of two classes is of pairs from one and the other.
+    met = groups.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("own").alias("small"), F.max("own").alias("large"), F.first("two").alias("two"))
+    return groups.drop("own", "two").join(met.where("low < high AND (small < large OR NOT two)").select("key"), "key")
 
 
 def _tiles(rows: DataFrame, hashes: DataFrame, s: Settings) -> DataFrame:
-    """The tiles of all buckets of ``rows`` (key, rep, component): members outside the bucket's largest component beside all members."""
-    rows = written(_open(rows).join(hashes.select("rep", F.size("hashes").alias("n")), "rep"))
-    # Buckets of the same members are compared once.
-    alike = rows.groupBy("key").agg(F.count("*").alias("members"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("one"), F.sum(F.xxhash64(F.lit(1), "rep").cast("decimal(38,0)")).alias("two"))
-    rows = rows.join(alike.groupBy("members", "one", "two").agg(F.min("key").alias("key")).select("key"), "key")
+    """The tiles of all groups of ``rows`` (key, rep, component, n): members outside the group's largest component beside all members."""
+    rows = written(rows)
+    # Groups of the same components are one, so that sets which meet in many groups are compared once.
+    alike = rows.select("key", "component").distinct().groupBy("key")
+    alike = alike.agg(F.count("*").alias("components"), *(F.sum(F.xxhash64(F.lit(k), "component").cast("decimal(38,0)")).alias(f"print{k}") for k in (0, 1)))
+    alike = written(alike.select("key", F.xxhash64("components", F.col("print0").cast("string"), F.col("print1").cast("string")).alias("bucket")))
+    rows = written(rows.join(alike, "key").select("bucket", "rep", "component", "n").distinct())
     slots = lambda m, n: F.greatest(F.ceil(m / s.tile), F.ceil(n / s.held)).cast("int")
-    parts = rows.groupBy("key", "component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
-    parts = parts.groupBy("key").agg(F.max(F.struct("m", "component", "n")).alias("top"), F.sum("m").alias("m"), F.sum("n").alias("n"))
-    parts = parts.select("key", F.col("top.component").alias("top"), slots(F.col("m") - F.col("top.m"), F.col("n") - F.col("top.n")).alias("rows"), slots(F.col("m"), F.col("n")).alias("columns"))
-    both = written(rows.join(parts, "key"))
+    parts = rows.groupBy("bucket", "component").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    parts = parts.groupBy("bucket").agg(F.max(F.struct("m", "component", "n")).alias("top"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+    parts = parts.select("bucket", F.col("top.component").alias("top"), slots(F.col("m") - F.col("top.m"), F.col("n") - F.col("top.n")).alias("rows"), slots(F.col("m"), F.col("n")).alias("columns"))
+    both = rows.join(parts, "bucket")
+    # A row is on the left of the tiles of one i and on the right of those of one j; where the two meet it is sent once.
     spot = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = both.where("component <> top").select("key", spot("rows").alias("i"), every("columns").alias("j"), "rep", "component", F.lit(True).alias("left"))
-    right = both.select("key", every("rows").alias("i"), spot("columns").alias("j"), "rep", "component", F.lit(False).alias("left"))
-    return left.union(right).join(hashes, "rep")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    outer = F.col("component") != F.col("top")
+    right = F.transform(every("rows"), lambda i: F.struct(i.alias("i"), spot("columns").alias("j"), (outer & (i == spot("rows"))).alias("left"), F.lit(True).alias("right")))
+    left = F.transform(F.array_remove(every("columns"), spot("columns")), lambda j: F.struct(spot("rows").alias("i"), j.alias("j"), F.lit(True).alias("left"), F.lit(False).alias("right")))
+    both = both.select("bucket", "rep", "component", F.explode_outer(F.when(outer, F.concat(right, left)).otherwise(right)).alias("at"))
+    return both.select("bucket", "rep", "component", "at.*").join(hashes, "rep")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -293,11 +318,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     first = _open(first.select("key", "rep").join(known, "rep"))
     keys = first.groupBy("rep", "component").agg(F.collect_list("key").alias("keys")).join(sets.select("rep", "b"), "rep")
     tensor = keys.select("rep", "component", "b", F.explode("keys").alias("key")).select("rep", "component", "key", F.explode("b").alias("band"))
-    tensor = written(_open(written(tensor.select(F.xxhash64("key", "band").alias("key"), "rep", "component"))))
-    hashes = written(docs.join(tensor.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").mapInArrow(_shingles(s), "rep long, hashes array<long>"))
-    live = written(_live(tensor, hashes, s))
-    tiles = _tiles(tensor.join(live, "rep"), hashes, s)
-    more = written(tiles.groupBy("key", "i", "j").applyInArrow(_compared(s), "u long, v long").distinct())
+    tensor = _open(written(tensor.select(F.xxhash64("key", "band").alias("key"), "rep", "component")))
+    still = written(tensor.select("rep", "component").distinct())
+    hashes = written(texts.join(still.select(F.col("rep").alias("doc_id")), "doc_id").mapInArrow(_shingles(s), "rep long, hashes array<long>"))
+    tiles = _tiles(_live(still, hashes, s), hashes, s)
+    more = written(tiles.groupBy("bucket", "i", "j").applyInArrow(_compared(s), "u long, v long").distinct())
     links = written(links.union(_weighed(more, texts, s).where(alike).select("u", "v")))
 
     member = _labelled(classes, links).select("words", "component")

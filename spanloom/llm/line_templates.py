@@ -9,7 +9,7 @@ that ``steady`` per cent or more of the leaf's lines have. Of the tokens without
 A template recurs if ``least`` or more different texts have it that are not near copies, and they are ``spread`` per cent
 or more of all different texts that have it; lines with either template recurring are dropped from all documents. A line is taken for copied if
 its first or its last ``edge`` tokens, as they are, stand first or last in a line of ``least`` different texts or more; a text is a near copy if
-copied lines make up ``copied`` per cent or more of its characters. So what distinguishes a page with a license block or a footer
+copied lines make up ``copied`` per cent or more of its characters, and of its lines. So what distinguishes a page with a license block or a footer
 from a copy is the text that it has besides, and blocks of several lines go as single lines do; copies of whole documents, which
 have no text besides, are left to the operators that look for copies, but lose the footers that other pages have.
 Lines of blanks part paragraphs and are never dropped.
@@ -44,7 +44,7 @@ class Settings:
     share: int = 70
     edge: int = 6
     copied: int = 75
-    spread: int = 10
+    spread: int = 20
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -111,9 +111,9 @@ def _copies(lines: DataFrame, s: Settings) -> DataFrame:
     """(print): texts that are near copies of others."""
     ends = lines.where("size > 0").select("print", "at", "size", F.explode(F.array("head", "tail")).alias("end"))
     often = ends.select("end", "print").distinct().groupBy("end").agg(F.count("*").alias("n")).where(F.col("n") >= s.least).select("end")
-    copied = ends.join(often, "end").select("print", "at", "size").distinct().groupBy("print").agg(F.sum("size").alias("copied"))
-    whole = lines.select("print", "at", "size").distinct().groupBy("print").agg(F.sum("size").alias("whole"))
-    return copied.join(whole, "print").where(100 * F.col("copied") >= s.copied * F.col("whole")).select("print")
+    sums = lambda rows, name: rows.select("print", "at", "size").distinct().groupBy("print").agg(F.sum("size").alias(f"{name}_size"), F.count("*").alias(f"{name}_lines"))
+    both = sums(ends.join(often, "end"), "copied").join(sums(lines.where("size > 0"), "all"), "print")
+    return both.where(" AND ".join(f"100 * copied_{x} >= {s.copied} * all_{x}" for x in ("size", "lines"))).select("print")
 
 
 def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:

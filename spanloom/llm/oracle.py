@@ -56,12 +56,12 @@ tpl AS (SELECT m, leaf || chr(3) || string_agg(CASE WHEN lines > 0 THEN tok ELSE
         UNION SELECT m, leaf || chr(3) || string_agg(CASE WHEN 100 * lines >= 5 * every THEN tok ELSE chr(1) END, chr(2) ORDER BY place) FROM f GROUP BY m, leaf
           HAVING count(*) FILTER (WHERE 100 * lines >= 5 * every) > 0 AND 100 * count(*) FILTER (WHERE 100 * lines >= 5 * every) >= 70 * count(*) FILTER (WHERE tok <> '<*>')),
 h AS (SELECT text, n, length(line) AS size, unnest(['first ' || array_to_string(w[1:6], ' '), 'last ' || array_to_string(w[-6:], ' ')]) AS x FROM m),
-o AS (SELECT x FROM h GROUP BY x HAVING count(DISTINCT text) >= 5),
-y AS (SELECT text, sum(size) AS copied FROM (SELECT DISTINCT text, n, size FROM h JOIN o USING (x)) GROUP BY text),
-q AS (SELECT text FROM y JOIN (SELECT text, sum(length(line)) AS size FROM l GROUP BY text) USING (text) WHERE size > 0 AND 100 * copied >= 75 * size),
+o AS (SELECT x FROM h WHERE size > 0 GROUP BY x HAVING count(DISTINCT text) >= 5),
+y AS (SELECT text, sum(size) AS copied, count(*) AS lines FROM (SELECT DISTINCT text, n, size FROM h JOIN o USING (x) WHERE size > 0) GROUP BY text),
+q AS (SELECT text FROM y JOIN (SELECT text, sum(length(line)) AS size, count(*) AS every FROM l WHERE line <> '' GROUP BY text) USING (text) WHERE 100 * copied >= 75 * size AND 100 * lines >= 75 * every),
 s AS (SELECT DISTINCT tpl, text FROM m JOIN tpl USING (m)),
 g AS (SELECT tpl FROM s LEFT JOIN (SELECT text, 1 AS near FROM q) USING (text) GROUP BY tpl
-      HAVING count(*) FILTER (WHERE near IS NULL) >= 5 AND 100 * count(*) FILTER (WHERE near IS NULL) >= 10 * count(*)),
+      HAVING count(*) FILTER (WHERE near IS NULL) >= 5 AND 100 * count(*) FILTER (WHERE near IS NULL) >= 20 * count(*)),
 r AS (SELECT text, count(*) AS n, count(*) FILTER (WHERE gone) AS dropped, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '') AS kept
       FROM (SELECT m.*, m IN (SELECT m FROM tpl JOIN g USING (tpl)) AS gone FROM m) GROUP BY text)
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(dropped, 0)::BIGINT AS n_dropped, coalesce(length(kept), 0)::BIGINT AS kept_chars, sha256(kept) AS text_sha256

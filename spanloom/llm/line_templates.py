@@ -45,6 +45,7 @@ class Settings:
     edge: int = 6
     copied: int = 75
     spread: int = 20
+    most: int = 1_000_000  #: leaves that may be sent to all tasks; beyond it they are joined by shuffle
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -83,9 +84,10 @@ def _lines(docs: DataFrame, s: Settings) -> DataFrame:
 
 def _templates(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """(hash, template): both templates of the masked lines in leaves of ``least`` lines or more; ``lines`` as of ``_lines``."""
-    few = lines.where(F.col("leaf").isNotNull()).groupBy("leaf").count().where(F.col("count") >= s.least).select("leaf")
+    few = written(lines.where(F.col("leaf").isNotNull()).groupBy("leaf").count().where(F.col("count") >= s.least).select("leaf"))
+    few = F.broadcast(few) if few.limit(s.most + 1).count() <= s.most else few.hint("shuffle_hash")
     rows = _split(docs.where(F.col("text").isNotNull())).select(F.col("masked").alias("line"))
-    rows = rows.select("line", _leaf(F.col("line"), s).alias("leaf")).where(F.col("leaf").isNotNull()).join(few.hint("shuffle_hash"), "leaf")
+    rows = rows.select("line", _leaf(F.col("line"), s).alias("leaf")).where(F.col("leaf").isNotNull()).join(few, "leaf")
     # By line alone: then the join's partitions need not stay whole.
     parsed = rows.groupBy("line").agg(F.count("*").alias("n")).select(_leaf(F.col("line"), s).alias("leaf"), "n", F.xxhash64("line").alias("hash"), tokens(F.col("line")).alias("tokens"))
     parsed = written(parsed.select("leaf", "n", "hash", F.transform("tokens", lambda t: F.xxhash64(t)).alias("tokens"), F.transform("tokens", lambda t: t == FIELD).alias("fields")))

@@ -30,6 +30,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.chars import let
 from spanloom.llm.common import without, written
 
 
@@ -165,7 +166,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setting
     hits = hits.select("doc_id", "item", "start", "item_n", agrees.alias("agrees"))
     size = F.least(F.lit(s.stretch), F.col("item_n"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    near = F.exists(F.sequence(F.lit(0), F.col("item_n") - size), lambda k: 100 * total(F.slice(F.col("agrees"), k + 1, size)) >= s.agree * size)
+    near = let(F.col("agrees"), lambda a: F.exists(F.sequence(F.lit(0), F.col("item_n") - size), lambda k: 100 * total(F.slice(a, k + 1, size)) >= s.agree * size))
     good = hits.where(near).select("doc_id", "item", "start", F.col("item_n").alias("n_words"), total(F.col("agrees")).alias("n_matched"))
     best = good.groupBy("doc_id", "item").agg(F.max(F.struct("n_matched", (-F.col("start")).alias("back"), "n_words")).alias("b"))
     best = best.join(named.select("item", "item_id").distinct(), "item")

@@ -21,6 +21,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.chars import let
 from spanloom.llm.common import written
 
 try:  # the parser's home since Python 3.11
@@ -162,7 +163,7 @@ def trigram_index(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str =
     body = F.coalesce(F.col(text), F.lit(""))
     low = docs.select(_print(body).alias("print"), F.lower(body).alias("low"))
     size = F.length("low")
-    cut = F.transform(F.sequence(F.lit(0), F.floor(size / piece).cast("int")), lambda k: F.substring(F.col("low"), k * piece + 1, F.lit(piece + 2)))
+    cut = let(F.col("low"), lambda x: F.transform(F.sequence(F.lit(0), F.floor(F.length(x) / piece).cast("int")), lambda k: F.substring(x, k * piece + 1, F.lit(piece + 2))))
     low = low.select("print", F.explode_outer(F.when(size > piece, cut).otherwise(F.array("low"))).alias("low"))
     found = F.array_distinct(F.regexp_extract_all("low", F.lit(_any_of(names) if names else r"(\z\b\B)"), F.lit(1)))
     return low.select("print", F.explode(found).alias("trigram")).select("trigram", "print")

@@ -165,6 +165,14 @@ def test_pipeline_does_not_hold_fields_against_a_line(spark):
     assert got == lines_by_hand(rows) == without_lines(spark, rows)
 
 
+def test_very_long_texts_lose_recurring_lines(spark):
+    r = random.Random(9)
+    long = "\n".join([prose(r, 12) if k % 3 else "All rights reserved" for k in range(60_000)] + ["x" * 1_000_000])
+    rows = [(0, long)] + [(1 + k, f"{prose(r, 20)}\nAll rights reserved") for k in range(6)]
+    got = {r.doc_id: r for r in line_templates.drop_templates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].text == long.replace("All rights reserved\n", "") and got[0].n_dropped == 20_000
+
+
 def test_line_edge_rows(spark):
     df = spark.createDataFrame([(1, None, 1), (None, "a b c\nf", 2), (2, "", 3), (2, "", 3)], "doc_id long, text string, hash int")
     rows = line_templates.drop_templates(df).collect()
@@ -217,6 +225,17 @@ def test_scripts_without_blanks_are_cut_into_characters(spark):
     assert [(r.doc_id, r.n_matched, r.n_words) for r in decontamination.overlaps(df, items).collect()] == [(1, 8, 8)]
 
 
+def test_long_items_and_very_long_texts(spark):
+    r = random.Random(4)
+    item = prose(r, 2_000)
+    changed = " ".join("other" if k % 5 == 0 else w for k, w in enumerate(item.split()))
+    df = spark.createDataFrame([(1, prose(r, 150_000) + " " + changed + " " + prose(r, 1000)), (2, prose(r, 1000))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for bytes_ in (8_000_000, 0):
+        got = [tuple(x) for x in decontamination.overlaps(df, items, decontamination.Settings(broadcast=bytes_)).collect()]
+        assert got == [(1, 1, 1_600, 2_000, 150_000)]
+
+
 def test_overlap_edge_rows(spark):
     items = spark.createDataFrame([(1, "a b c d e"), (2, ""), (None, "v w x y z")], "item_id long, text string")
     df = spark.createDataFrame([(1, None, 1), (None, "a b c d e f", 1), (2, "x A, b c d e", 1), (2, "x A, b c d e", 1), (3, "a b " * 30_000, 1)], "doc_id long, text string, at int")

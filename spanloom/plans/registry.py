@@ -228,6 +228,15 @@ def output_no_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.extract(_work(spark, sf_dir), confidence=False)
 
 
+def output_without_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third entity without a place: such are neither grown nor cleaned."""
+    known = F.col("ent_idx") % 3 != 0
+    rows = _entities(spark, sf_dir)
+    for c in ("start_pos", "end_pos"):
+        rows = rows.withColumn(c, F.when(known, F.col(c)))
+    return assembly.output_rows(plan.final_entities(rows))
+
+
 def entities_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.entities_by_type(_entities(spark, sf_dir))
 
@@ -296,6 +305,7 @@ QUERIES = {
     "output_rows": output_rows,
     "output_plain": output_plain,
     "output_no_confidence": output_no_confidence,
+    "output_without_places": output_without_places,
     "entities_by_type": entities_by_type,
     "pipeline_stats": pipeline_stats,
     "expansion_stats": expansion_stats,
@@ -353,6 +363,11 @@ ORACLE_SQL: dict[str, str] = {
     "output_rows": oracle.with_chain("grown", _ROWS),
     "output_plain": oracle.with_chain("entity", "SELECT doc_id, type AS entity_type, text AS entity_text, confidence FROM entity"),
     "output_no_confidence": oracle.with_chain("grown", f"SELECT * EXCLUDE (confidence) FROM ({_ROWS})"),
+    "output_without_places": oracle.with_chain(
+        "grown",
+        f"SELECT doc_id, type AS entity_type, CASE WHEN ent_idx % 3 = 0 THEN text ELSE {_CLEANED} END AS entity_text, confidence, "
+        f"CASE WHEN ent_idx % 3 = 0 THEN 0 ELSE new_start END AS start_pos, CASE WHEN ent_idx % 3 = 0 THEN 0 ELSE new_end END AS end_pos FROM ({_FINAL})",
+    ),
     "entities_by_type": oracle.with_chain("entity", "SELECT type AS entity_type, count(*) AS entities FROM entity GROUP BY type"),
     "pipeline_stats": oracle.with_chain(
         "entity",

@@ -59,8 +59,10 @@ def documents(spark: SparkSession, config: Config, last_id: int = 0) -> DataFram
         keyset.register(spark)
         own = {"host": s.host, "port": s.port, "user": "root", "charset": "utf8mb4", "connect_timeout": s.connection_timeout, "read_timeout": s.connection_timeout} if s.module == "pymysql" else {}
         table = spark.read.format("keyset").options(module=s.module, connect=json.dumps(own | s.connect), table=s.table, batch_size=s.batch_size, partitions=s.partitions, last_id=last_id).load()
+    elif s.type == "jdbc":
+        table = spark.read.format("jdbc").options(dbtable=s.table, fetchsize=s.batch_size, **s.connect).load()
     else:
-        table = spark.read.format(s.type).load(s.table)
+        table = spark.read.format(s.type).options(**s.connect).load(s.table)
     id_column = next((c for c in ("doc_id", "id") if c in table.columns), table.columns[0])
     return tables.after(tables.documents(table, id_column, "content" if "content" in table.columns else "text"), last_id)
 

@@ -13,8 +13,8 @@ from spanloom.functions.expansion import ExpansionConfig
 
 @dataclass(frozen=True)
 class SourceConfig:
-    """Where documents come from. ``type`` is a format of Spark's readers, with ``table`` as its path; ``keyset``, a table that any
-    Python database driver reaches (``module``); or ``mysql``, the same over pymysql."""
+    """Where documents come from. ``type`` is a format of Spark's readers, with ``table`` as its path (``jdbc``: as its table); ``keyset``, a
+    table that any Python database driver reaches (``module``); or ``mysql``, the same over pymysql."""
 
     type: str = "parquet"
     host: str = "localhost"
@@ -23,7 +23,7 @@ class SourceConfig:
     batch_size: int = 1000
     connection_timeout: int = 30
     module: str = "pymysql"
-    connect: dict = field(default_factory=dict)  #: further arguments of the driver's connect(), over those above
+    connect: dict = field(default_factory=dict)  #: further arguments of the driver's connect(), or options of the reader
     partitions: int = 8
 
 

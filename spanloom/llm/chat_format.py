@@ -9,7 +9,9 @@ Conversations are sorted by their opening turns and cut into packs of about ``pa
 they are merged into a prefix tree: turns that conversations share up to there are one node. Nodes are
 emitted depth-first, their tokens once; a node's position ids go on from its parent's, and its tokens attend
 to the intervals of its ancestors and, causally, to itself. A pack is one row, bounded unless a single
-conversation is longer; equal conversations, however many, spread over packs.
+conversation is longer; equal conversations, however many, spread over packs. A turn that all share is thus emitted once a pack. The
+sort looks at the first ``SORTED_TURNS`` turns; what conversations share after them is one node where they meet in a pack. The turns of
+one conversation are gathered in one row.
 
 Rows of a null ``conv_id`` are left out. Turns of a conversation are ordered by (turn, role, text) with nulls
 first, and repeated rows stay as turns of their own. Null roles and texts count as empty. Further columns are

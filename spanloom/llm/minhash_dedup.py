@@ -60,6 +60,7 @@ class Settings:
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BLOCK = 400_000
+_CACHE = 20_000
 _SKETCH = "doc_id long, n_shingles long, words binary, a array<long>, b array<long>"
 
 
@@ -167,14 +168,14 @@ def _weigh(width: int):
     """Pairs (u, v, text of u, text of v) with the sizes of the intersection and the union of their sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: OrderedDict[int, set[bytes]] = OrderedDict()  # of the last few u
+        kept: OrderedDict[int, set[bytes]] = OrderedDict()  # of the last few u, no more than _CACHE shingles but for the last
 
         for batch in batches:
             common, union = [], []
             for u, tu, tv in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if u not in kept:
                     kept[u] = shingle_set(tu.as_py(), width)
-                    if len(kept) > 8:
+                    while len(kept) > 1 and sum(map(len, kept.values())) > _CACHE:
                         kept.popitem(last=False)
                 one, other = kept[u], shingle_set(tv.as_py(), width)
                 common.append(len(one & other))

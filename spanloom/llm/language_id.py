@@ -130,7 +130,8 @@ def train(docs: DataFrame, label: str = "lang", text: str = "text", key: str = "
     if not share:
         return Model((), np.zeros((s.buckets, 0)), None, np.zeros(0), 1.0, 0.0)
     spot = F.pmod(F.xxhash64(F.lit(s.seed), "key"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = rows.join(F.broadcast(rows.sparkSession.createDataFrame(share, "label string, share double")), "label").where(spot < F.col("share"))
+    shares = rows.sparkSession.createDataFrame(share, "label string, share double")
+    drawn = rows.join(F.broadcast(shares) if len(share) <= 100_000 else shares, "label").where(spot < F.col("share"))
     # A narrow table, of which no more than the bound is sent on.
     drawn = written(drawn.select("label", "text", (spot / F.col("share")).alias("spot")).mapInArrow(_features(s.buckets), "label string, spot double, ids array<int>, times array<int>"))
     pairs = drawn.agg(F.sum(F.size("ids"))).first()[0] or 0

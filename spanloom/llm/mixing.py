@@ -82,13 +82,13 @@ def budgets(leaves: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``leaves`` (domain, lang, source, tokens) with ``budget``, from the top of the tree down."""
     s = settings
     rows = leaves.withColumn("__capacity", F.col("tokens") * float(s.epochs))
-    total = rows.agg((F.sum("tokens") * s.share).alias("__budget"))
+    total = rows.agg(F.sum("tokens") * s.share)
     for depth, level in enumerate(LEVELS, 1):
         path = list(LEVELS[:depth])
         nodes = rows.groupBy(*path).agg(F.sum("__capacity").alias("__all"))
         nodes = nodes.withColumn("__weight", _weight(level, F.col(level), s))
         if depth == 1:
-            nodes = nodes.join(F.broadcast(total))  # one row
+            nodes = nodes.withColumn("__budget", total.scalar())
         else:
             up = given.select(*(F.col(c).alias(f"__up_{c}") for c in path[:-1]), F.col("__share").alias("__budget"))  # noqa: F821
             on = [nodes[c].eqNullSafe(up[f"__up_{c}"]) for c in path[:-1]]

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.chars import let
 from spanloom.llm.common import written
 
 FIELD = "<*>"
@@ -45,7 +46,7 @@ class Settings:
     edge: int = 6
     copied: int = 75
     spread: int = 20
-    most: int = 1_000_000  #: leaves that may be sent to all tasks; beyond it they are joined by shuffle
+    most: int = 500_000  #: rows of a list that may be sent to all tasks; a longer one is joined by shuffle
 
 
 def masked(line: Column, digits: Column) -> Column:
@@ -82,10 +83,15 @@ def _lines(docs: DataFrame, s: Settings) -> DataFrame:
     return rows.select("doc_id", "print", "at", F.xxhash64("masked").alias("hash"), _leaf(F.col("masked"), s).alias("leaf"), *ends, F.length(line).alias("size"))
 
 
+def _sent(rows: DataFrame, s: Settings) -> DataFrame:
+    """``rows`` (one or two numbers each) as a table, sent to all tasks if they are counted to be few."""
+    rows = written(rows)
+    return F.broadcast(rows) if rows.limit(s.most + 1).count() <= s.most else rows.hint("shuffle_hash")
+
+
 def _templates(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """(hash, template): both templates of the masked lines in leaves of ``least`` lines or more; ``lines`` as of ``_lines``."""
-    few = written(lines.where(F.col("leaf").isNotNull()).groupBy("leaf").count().where(F.col("count") >= s.least).select("leaf"))
-    few = F.broadcast(few) if few.limit(s.most + 1).count() <= s.most else few.hint("shuffle_hash")
+    few = _sent(lines.where(F.col("leaf").isNotNull()).groupBy("leaf").count().where(F.col("count") >= s.least).select("leaf"), s)
     rows = _split(docs.where(F.col("text").isNotNull())).select(F.col("masked").alias("line"))
     rows = rows.select("line", _leaf(F.col("line"), s).alias("leaf")).where(F.col("leaf").isNotNull()).join(few, "leaf")
     # By line alone: then the join's partitions need not stay whole.
@@ -112,7 +118,7 @@ def _templates(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
 def _copies(lines: DataFrame, s: Settings) -> DataFrame:
     """(print): texts that are near copies of others."""
     ends = lines.where("size > 0").select("print", "at", "size", F.explode(F.array("head", "tail")).alias("end"))
-    often = ends.select("end", "print").distinct().groupBy("end").agg(F.count("*").alias("n")).where(F.col("n") >= s.least).select("end")
+    often = _sent(ends.select("end", "print").distinct().groupBy("end").agg(F.count("*").alias("n")).where(F.col("n") >= s.least).select("end"), s)
     sums = lambda rows, name: rows.select("print", "at", "size").distinct().groupBy("print").agg(F.sum("size").alias(f"{name}_size"), F.count("*").alias(f"{name}_lines"))
     both = sums(ends.join(often, "end"), "copied").join(sums(lines.where("size > 0"), "all"), "print")
     return both.where(" AND ".join(f"100 * copied_{x} >= {s.copied} * all_{x}" for x in ("size", "lines"))).select("print")
@@ -120,7 +126,7 @@ def _copies(lines: DataFrame, s: Settings) -> DataFrame:
 
 def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
     """(hash): hashes of the masked lines whose template recurs; ``lines`` as of ``_lines``."""
-    template = written(_templates(lines, docs, s))
+    template = _sent(_templates(lines, docs, s), s)
     seen = lines.select("print", "hash").join(template, "hash").select("template", "print").distinct()
     seen = seen.join(_copies(lines, s).withColumn("copy", F.lit(True)), "print", "left")
     recurs = seen.groupBy("template").agg(F.count("*").alias("texts"), F.count_if(F.col("copy").isNull()).alias("own"))
@@ -131,16 +137,15 @@ def _recurring(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:
 def drop_templates(docs: DataFrame, settings: Settings = Settings(), counts: bool = True) -> DataFrame:
     """``docs`` with recurring lines out of ``text``; with ``counts`` the columns ``n_lines`` and ``n_dropped`` after the others."""
     lines = written(_lines(docs.where(F.col("text").isNotNull()), settings))
-    gone = written(_recurring(lines, docs, settings))
+    gone = _sent(_recurring(lines, docs, settings), settings)
     hit = lines.select("doc_id", "print", "at", "hash").join(gone, "hash")
     hit = hit.groupBy("doc_id", "print").agg(F.collect_set("at").alias("gone"))
     # All columns travel in one, so that none has the name of another.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("own"))
     out = rows.join(hit.hint("shuffle_hash"), F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("print")), "left")
     text = F.col("row.text")
-    every = F.split(text, "\n")
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone")), lambda k: F.get(F.col("lines"), k))
-    out = out.withColumn("lines", F.when(F.col("gone").isNotNull(), every))
+    # Bound by ``let``: as a column it would be put into the inner function, and the text split once a line.
+    kept = let(F.split(text, "\n"), lambda every: F.transform(F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col("gone")), lambda k: F.get(every, k)))
     columns = [c for c in docs.columns if not (counts and c.lower() in ("n_lines", "n_dropped"))]
     told = (
         F.coalesce(_occurrences(text, "\n") + 1, F.lit(0)).cast("long").alias("n_lines"),

@@ -290,3 +290,11 @@ def test_mixing_edge_rows(spark):
     rows = mixing.mixed(df, mixing.Settings(share=1.0)).collect()
     assert sorted((r.doc_id or 0, r.epoch, r.n_tokens) for r in rows) == [(0, 0, 3), (2, 0, 3), (2, 0, 3)]
     assert mixing.mixed(df.limit(0)).count() == 0
+
+
+def test_lists_that_are_not_sent_give_the_same_lines(spark):
+    r = random.Random(12)
+    rows = [(i, f"{prose(r, 12)}\nAll rights reserved\n{prose(r, 9)}\nPage {i} of 20") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted(map(tuple, line_templates.drop_templates(df, line_templates.Settings(most=n)).collect())) for n in (500_000, 0)]
+    assert got[0] == got[1] and all(x[3] == 2 for x in got[0])

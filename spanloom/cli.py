@@ -72,7 +72,8 @@ def run(spark: SparkSession, config: Config, resume: bool = False, limit: int |
     files, state, note = Files(spark), f"{config.checkpoint}/state.json", f"{config.checkpoint}/started.json"
     out = config.output
     if not resume:
-        files.delete(config.checkpoint)
+        for name in (state, f"{state}.old", note, f"{note}.old"):
+            files.delete(name)
     old = metrics.load_state(files, state) or {}
     if resume and (text := files.read(note)):
         started = json.loads(text)

@@ -26,7 +26,7 @@ from spanloom.llm.common import written
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 #: Characters hashed at once.
-_BLOCK = 200_000
+_BLOCK = 50_000
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ class Subwords:
 
     def _hashed(self, pieces: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         code = np.concatenate([np.frombuffer(f"\0{p}\0".encode("utf-32-le", "replace"), np.uint32) for _, p in pieces])
-        owner = np.repeat([k for k, _ in pieces], [len(p) + 2 for _, p in pieces])
+        owner = np.repeat(np.array([k for k, _ in pieces], np.int32), [len(p) + 2 for _, p in pieces])
         c = self.fold[code]
         letter = np.unique(owner[c > 0])
         keep = (c > 0) | np.r_[True, c[:-1] > 0]  # one blank for any run of others
@@ -93,9 +93,9 @@ class Subwords:
             if n in ORDERS:
                 mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
                 same = owner[: len(h)] == owner[n - 1 :]
-                out.append(((mixed >> np.uint64(33)) % self.buckets)[same])
+                out.append(((mixed >> np.uint64(33)) % self.buckets)[same].astype(np.int32))
                 who.append(owner[: len(h)][same])
-        return np.concatenate(out).astype(np.int64), np.concatenate(who), letter
+        return np.concatenate(out), np.concatenate(who), letter
 
 
 _SUBWORDS: dict[int, Subwords] = {}

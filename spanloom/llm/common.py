@@ -6,7 +6,7 @@ import uuid
 
 import numpy as np
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.sources.files import shared_dir
@@ -24,6 +24,13 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as a table in the shared folder, and the number of its rows, which is counted as they are written."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count("*").alias("rows")))
+    return out, seen.get["rows"]
+
+
 def one_per_id(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text) with null ids left out, null texts empty, and of rows that repeat an id the least text.
 
@@ -39,8 +46,8 @@ def without(docs: DataFrame, ids: DataFrame, most: int = 1_000_000) -> DataFrame
     """``docs`` but the rows whose doc_id (null too) is in ``ids`` (doc_id): sent to all tasks if counted to be no more
     than ``most``, so that texts stay where they are; beyond it both sides are shuffled."""
     gone = unused("gone", docs)
-    ids = written(ids.select(F.col("doc_id").alias(gone)).distinct())
-    if ids.count() <= most:
+    ids, number = counted(ids.select(F.col("doc_id").alias(gone)).distinct())
+    if number <= most:
         ids = F.broadcast(ids)
     return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(gone)), "left_anti")
 
@@ -59,22 +66,20 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until the edge set no longer changes; then every vertex
     points to the smallest id of its component. Each round is a written table. Nulls and loops are ignored.
     """
-    now = written(
-        edges.select(F.least("u", "v").alias("m"), F.greatest("u", "v").alias("x")).where("m < x").distinct()
-    )
-
-    def state(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("m", "x").cast("decimal(38,0)"))).first())
+    def table_of(rows: DataFrame) -> tuple[DataFrame, tuple]:
+        """The edges, and what tells whether they changed, gathered as they are written."""
+        seen = Observation()
+        rows = rows.where("m < x").distinct().observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("m", "x").cast("decimal(38,0)")).alias("sum"))
+        return written(rows), tuple(seen.get.values())
 
-    before = state(now)
+    now, before = table_of(edges.select(F.least("u", "v").alias("m"), F.greatest("u", "v").alias("x")))
     while before[0]:
         both = now.select(F.col("x").alias("u"), F.col("m").alias("v")).union(now.select(F.col("m").alias("u"), F.col("x").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select("m", F.col("v").alias("x")).where("m < x").distinct()
         low = large.groupBy("x").agg(F.min("m").alias("m0"))
         small = large.join(low, "x").select(F.explode(F.array(F.struct("m0", "x"), F.struct("m0", F.col("m").alias("x")))).alias("e"))
-        now = written(small.select(F.col("e.m0").alias("m"), F.col("e.x").alias("x")).where("m < x").distinct())
-        after = state(now)
+        now, after = table_of(small.select(F.col("e.m0").alias("m"), F.col("e.x").alias("x")))
         if after == before:
             break
         before = after

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.chars import let
-from spanloom.llm.common import without, written
+from spanloom.llm.common import counted, without, written
 
 
 @dataclass(frozen=True)
@@ -123,10 +123,9 @@ def _bitmap(seeds: DataFrame, bits: int) -> DataFrame:
     return held.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "word"))), lambda x: x["word"]).alias("words"))
 
 
-def _hits(docs: DataFrame, seeds: DataFrame, masks: list[str], s: Settings) -> DataFrame:
-    """(doc_id, item, item_n, start, beside) of each hit; ``seeds`` (seed, item, item_n, item_at)."""
+def _hits(docs: DataFrame, seeds: DataFrame, number: int, masks: list[str], s: Settings) -> DataFrame:
+    """(doc_id, item, item_n, start, beside) of each hit; ``seeds`` (seed, item, item_n, item_at), ``number`` of them."""
     start = (F.col("at") - F.col("item_at")).alias("start")
-    number = seeds.count()
     if number * _ROW <= s.broadcast:
         seen = _windows(_hashed(docs, "text", ["doc_id"]), masks, ["doc_id", "__w"])
         hits = seen.join(F.broadcast(seeds), "seed").select("doc_id", "item", "item_n", start, _beside(F.col("at") - F.col("item_at")).alias("beside"))
@@ -159,8 +158,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, settings: Settings = Setting
     every = sorted({m for found in used.values() for m in found})
     # An item is found by the masks of its own length alone.
     may = [size.isin([n for n in sizes if m in used[n]]) for m in every]
-    seeds = written(_windows(items, every, ["item"], may).select("seed", "item", F.col("__n").alias("item_n"), F.col("at").alias("item_at")))
-    hits = _hits(docs, seeds, every, s).join(items.select("item", "item_w"), "item")
+    seeds, number = counted(_windows(items, every, ["item"], may).select("seed", "item", F.col("__n").alias("item_n"), F.col("at").alias("item_at")))
+    hits = _hits(docs, seeds, number, every, s).join(items.select("item", "item_w"), "item")
     late = F.greatest(-F.col("start"), F.lit(0))
     agrees = F.transform(F.sequence(F.lit(0), F.col("item_n") - 1), lambda k: F.coalesce((F.when(k >= late, F.get(F.col("beside"), k - late)) == F.get(F.col("item_w"), k)).cast("int"), F.lit(0)))
     hits = hits.select("doc_id", "item", "start", "item_n", agrees.alias("agrees"))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.chars import let
-from spanloom.llm.common import written
+from spanloom.llm.common import counted, written
 
 FIELD = "<*>"
 
@@ -85,8 +85,8 @@ def _lines(docs: DataFrame, s: Settings) -> DataFrame:
 
 def _sent(rows: DataFrame, s: Settings) -> DataFrame:
     """``rows`` (one or two numbers each) as a table, sent to all tasks if they are counted to be few."""
-    rows = written(rows)
-    return F.broadcast(rows) if rows.limit(s.most + 1).count() <= s.most else rows.hint("shuffle_hash")
+    rows, number = counted(rows)
+    return F.broadcast(rows) if number <= s.most else rows.hint("shuffle_hash")
 
 
 def _templates(lines: DataFrame, docs: DataFrame, s: Settings) -> DataFrame:

@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import written
+from spanloom.llm.common import counted, written
 
 LEVELS = ("domain", "lang", "source")
 
@@ -111,7 +111,7 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     leaves = budgets(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens")), s)
     # Whole epochs, and the tokens to take of the one after them.
     whole = F.least(F.floor(F.col("budget") / F.col("tokens")), F.lit(s.epochs)).cast("int")
-    leaves = written(leaves.select(*(F.col(c).alias(f"__{c}") for c in LEVELS), whole.alias("__whole"), (F.col("budget") - whole * F.col("tokens")).alias("__rest")))
+    leaves, number = counted(leaves.select(*(F.col(c).alias(f"__{c}") for c in LEVELS), whole.alias("__whole"), (F.col("budget") - whole * F.col("tokens")).alias("__rest")))
     leaf = [f"__{c}" for c in LEVELS]
 
     # Where the budget ends in that epoch: sums by bin, and running sums over the bins of a leaf.
@@ -119,7 +119,7 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         on = [left[c].eqNullSafe(right[f"__{c}"]) for c in LEVELS]
         return left.join(right, on[0] & on[1] & on[2])
 
-    known = F.broadcast(leaves) if leaves.limit(s.leaves + 1).count() <= s.leaves else leaves
+    known = F.broadcast(leaves) if number <= s.leaves else leaves
     bins = joined(rows, known).withColumn("__bin", F.substring(spot(F.col("__whole")), 1, s.digits))
     bins = bins.groupBy(*leaf, "__whole", "__rest", "__bin").agg(F.sum("n_tokens").alias("__tokens"))
     before = Window.partitionBy(*leaf).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -128,7 +128,7 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     cut = bins.where(F.col("__before") < F.col("__rest")).groupBy(*leaf, "__whole").agg(F.max(F.struct("__bin", (F.col("__rest") - F.col("__before")).alias("__take"))).alias("__cut"))
     plan = leaves.alias("p").join(cut.select(*(F.col(c).alias(f"{c}_") for c in leaf), "__cut"), (F.col("__domain").eqNullSafe(F.col("__domain_"))) & F.col("__lang").eqNullSafe(F.col("__lang_")) & F.col("__source").eqNullSafe(F.col("__source_")), "left").select(*leaf, "__whole", "__cut")
     plan = written(plan)
-    few = plan.limit(s.leaves + 1).count() <= s.leaves
+    few = number <= s.leaves
     # Within that bin: running sums over its ids, without their texts, up to the one id where the budget ends.
     inside = joined(rows, F.broadcast(plan) if few else plan).withColumn("__spot", spot(F.col("__whole"))).where(F.substring("__spot", 1, s.digits) == F.col("__cut.__bin"))
     inside = inside.groupBy(*leaf, "__cut", "__spot").agg(F.sum("n_tokens").alias("__tokens"))
@@ -142,10 +142,10 @@ def mixed(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     epochs = F.when(F.col("__whole") > 0, F.sequence(F.lit(0), F.col("__whole") - 1)).otherwise(F.array().cast("array<int>"))
     sure = F.when(F.col("__spot") < F.col("__end.__spot"), F.concat(epochs, F.array("__whole"))).otherwise(epochs)
     columns = [*(F.col("row")[c].alias(c) for c in own), "domain", "n_tokens"]
-    counted = lambda where: F.when(where, token_count(F.col("row.text"))).alias("n_tokens")
-    taken = at.withColumn("__sure", sure).select("row", "domain", "__sure", counted(F.size("__sure") > 0)).where("n_tokens > 0").select(*columns, F.explode("__sure").alias("epoch"))
+    tokens_if = lambda where: F.when(where, token_count(F.col("row.text"))).alias("n_tokens")
+    taken = at.withColumn("__sure", sure).select("row", "domain", "__sure", tokens_if(F.size("__sure") > 0)).where("n_tokens > 0").select(*columns, F.explode("__sure").alias("epoch"))
     # The rows of that id, one unless ids repeat.
-    last = at.select("row", *LEVELS, "__whole", "__end", counted(F.col("__spot") == F.col("__end.__spot"))).where("n_tokens > 0")
+    last = at.select("row", *LEVELS, "__whole", "__end", tokens_if(F.col("__spot") == F.col("__end.__spot"))).where("n_tokens > 0")
     order = Window.partitionBy(*LEVELS).orderBy("row.text").rowsBetween(Window.unboundedPreceding, -1)
     last = last.withColumn("__before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).where(F.col("__before") < F.col("__end.__left"))
     return taken.union(last.select(*columns, F.col("__whole").alias("epoch")))

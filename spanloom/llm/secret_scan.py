@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.chars import let
-from spanloom.llm.common import written
+from spanloom.llm.common import counted, written
 
 try:  # the parser's home since Python 3.11
     from re import _constants as sre_constants
@@ -211,8 +211,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", m
     """``docs`` with ``secrets``: array of (start, rank, end, kind) by start, then by the rule's place."""
     if len(rules) > 62:
         raise ValueError("at most 62 rules at once")
-    found = written(candidates(written(trigram_index(docs, rules, text)), rules).withColumnRenamed("print", "at"))
-    if found.limit(most + 1).count() <= most:
+    found, number = counted(candidates(written(trigram_index(docs, rules, text)), rules).withColumnRenamed("print", "at"))
+    if number <= most:
         found = F.broadcast(found)
     own = [c for c in docs.columns if c.lower() != "secrets"]
     # All columns travel in one, so that none has the name of another.

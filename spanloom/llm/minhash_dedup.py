@@ -252,19 +252,22 @@ def _live(sets: DataFrame, hashes: DataFrame, s: Settings) -> DataFrame:
     need = lambda n, other: F.ceil(s.share * (n + other) / (100 + s.share))
     least, most = F.ceil(F.col("n") * s.share / 100), F.floor(F.col("n") * 100 / s.share)
     of = lambda n: F.floor(F.log(n.cast("double")) / float(np.log(s.step))).cast("int")
-    sizes = sets.join(hashes.select("rep", F.size("hashes").alias("n")), "rep").withColumn("own", of(F.col("n")))
-    # The classes that some set is of, and the least size that each may hold; there are no more than the logarithm of the largest set allows.
-    classes = F.broadcast(sizes.select(F.col("own").alias("other")).distinct().withColumn("low", F.floor(F.pow(F.lit(float(s.step)), F.col("other")))))
+    sizes = sets.join(hashes.select("rep", F.size("hashes").alias("n")), "rep")
     each = sets.join(hashes, "rep").select("rep", "component", F.explode_outer("hashes").alias("h"))
     spread = each.groupBy("h").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"), F.count("*").alias("df"))
     held = each.join(spread.where("lowest < highest").select("h", "df"), "h")
     count = held.groupBy("rep").agg(F.count("*").alias("shared"))
     sizes = written(sizes.join(count, "rep").where(F.col("shared") >= need(F.col("n"), least)))
-    pairs = sizes.withColumn("other", F.explode(F.sequence(of(least), of(most)))).join(classes, "other")
-    pairs = pairs.withColumn("first", F.col("shared") - need(F.col("n"), F.greatest("low", least)) + 1).where("first > 0")
-    ranked = held.join(sizes.select("rep"), "rep").withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("df", "h")))
-    first = ranked.join(pairs.drop("component"), "rep").where("place <= first")
-    groups = first.select(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "rep", "component", "n", "own", (F.col("own") != F.col("other")).alias("two"))
+    ranked = held.join(sizes.drop("component"), "rep").withColumn("place", F.row_number().over(Window.partitionBy("rep").orderBy("df", "h")))
+    before = lambda other: F.col("place") <= F.col("shared") - need(F.col("n"), other) + 1
+    first = written(ranked.where(before(least)).select("h", "rep", "component", "n", "shared", "place", of(F.col("n")).alias("own")))
+    # Of all classes that a set may be linked to, a shingle brings it only to those of sets that have it among their first ones too.
+    there = first.groupBy("h").agg(F.min("component").alias("lowest"), F.max("component").alias("highest"), F.collect_set("own").alias("others"))
+    there = first.join(there.where("lowest < highest").select("h", "others"), "h").withColumn("other", F.explode("others")).where(F.col("other").between(of(least), of(most)))
+    # No set of a class is smaller than its ``low``.
+    low = F.floor(F.pow(F.lit(float(s.step)), F.col("other")))
+    groups = there.where(before(F.greatest(low, least))).select(F.xxhash64("h", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "rep", "component", "n", "own", (F.col("own") != F.col("other")).alias("two"))
+    groups = written(groups)
     # A group of two classes is of pairs from one and the other.
     met = groups.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("own").alias("small"), F.max("own").alias("large"), F.first("two").alias("two"))
     return groups.drop("own", "two").join(met.where("low < high AND (small < large OR NOT two)").select("key"), "key")

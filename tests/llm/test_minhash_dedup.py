@@ -94,3 +94,44 @@ def test_word_sequences_have_one_digest():
     one, two, three, four, five = digest("A b\n c", " a  B c ", "ab c", "", "a b c")
     assert one == two == five and len({one, three, four}) == 3
     assert digest("a b c") == [one] and digest("  ") == [four]
+
+
+def join_rows(spark, since):
+    """The most rows that a join made in the executions after ``since``, and the last of these executions."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    all_of = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    most, last = 0, since
+    for run in all_of(store.executionsList()):
+        if run.executionId() > since:
+            last, values = max(last, run.executionId()), store.executionMetrics(run.executionId())
+            for node in all_of(store.planGraph(run.executionId()).allNodes()):
+                for m in all_of(node.metrics()) if "Join" in node.name() else []:
+                    if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                        most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most, last
+
+
+def test_sets_of_many_sizes_are_not_sent_to_classes_that_no_other_set_is_of(spark):
+    """Overlapping stretches of one row of shingles: no join makes more rows than there are shingles, and no link is lost."""
+    r = random.Random(6)
+    stretch = [(k, start := 60 * k + r.randrange(50), start + r.randrange(200, 400)) for k in range(200)]
+    stretch += [(1000 + k, a + 5, b) for k, a, b in stretch[::20]]
+    # The order of shingles as numbers has nothing to do with their places.
+    order = r.sample(range(1 << 40), max(b for _, _, b in stretch))
+    sets = spark.createDataFrame([(k, k) for k, _, _ in stretch], "rep long, component long")
+    hashes = spark.createDataFrame([(k, sorted(order[a:b])) for k, a, b in stretch], "rep long, hashes array<long>")
+    since = join_rows(spark, -1)[1]
+    groups = {}
+    for row in M._live(sets, hashes, M.Settings()).collect():
+        groups.setdefault(row.rep, set()).add(row.key)
+    most, _ = join_rows(spark, since)
+    assert 0 < most <= sum(b - a for _, a, b in stretch)
+    linked = 0
+    for i, (x, a, b) in enumerate(stretch):
+        for y, c, d in stretch[:i]:
+            both = max(0, min(b, d) - max(a, c))
+            if 100 * both >= 75 * (b - a + d - c - both):
+                linked += 1
+                assert groups[x] & groups[y]
+    assert linked >= 10

@@ -6,7 +6,8 @@ ends exclusive. Running sums over arrays are taken in blocks, so their cost is l
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -62,31 +63,101 @@ def tokens(text: Column) -> Column:
     return let(words, located).cast(f"array<{TOKEN}>")
 
 
-def tokenizer_tokens(path: str) -> Tokens:
+class TokenizerFile:
     """Tokens of a tokenizer file (JSON of the tokenizers library), without special tokens: words are the characters that a token stands for.
 
     The file is read once per Python process. A text that the tokenizer fails on has null tokens, and the job goes on.
     """
-    @F.arrow_udf(f"array<{TOKEN}>")
-    def located(texts: pa.Array) -> pa.Array:
-        from tokenizers import Tokenizer
-
-        if path not in _LOADED:
-            _LOADED[path] = Tokenizer.from_file(path)
-            _LOADED[path].no_truncation()
-        out: list[list[dict] | None] = []
-        for text in texts.to_pylist():
-            try:
-                found = _LOADED[path].encode(text, add_special_tokens=False).offsets
-                out.append([{"word": text[a:b], "start": a, "end": b} for a, b in found])
-            except Exception:  # noqa: BLE001  one bad text doesn't end the job
-                out.append(None)
-        kind = pa.struct([("word", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-        return pa.array(out, pa.list_(kind))
-
-    return lambda text: located(text)
-
 
+    def __init__(self, path: str):
+        self.path = path
+
+    def encoded(self, text: str):
+        """The library's encoding; none if it fails."""
+        if self.path not in _LOADED:
+            from tokenizers import Tokenizer
+
+            _LOADED[self.path] = Tokenizer.from_file(self.path)
+            _LOADED[self.path].no_truncation()
+        try:
+            return _LOADED[self.path].encode(text, add_special_tokens=False)
+        except Exception:  # noqa: BLE001  one bad text doesn't end the job
+            return None
+
+    def __call__(self, text: Column) -> Column:
+        @F.arrow_udf(f"array<{TOKEN}>")
+        def located(texts: pa.Array) -> pa.Array:
+            own = []
+            for text in texts:
+                t = text.as_py()
+                found = None if t is None else self.encoded(t)
+                own.append(pa.array([None], _TOKENS) if found is None else _listed(t, [found.offsets]))
+            return pa.concat_arrays(own) if own else pa.array([], _TOKENS)
+
+        return located(text)
+
+    def chunks(self, rows: DataFrame, content: int, step: int, listed: bool = True) -> DataFrame:
+        """Chunks of ``rows`` (doc_id, document), cut where they are encoded: a task holds one text's encoding and about ``BATCH_CHARS`` of
+        chunks at a time, however many texts come at once. Without ``listed`` the column ``tokens`` is left out."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out: list[tuple] = []
+            held = 0
+            for batch in batches:
+                for doc_id, document in zip(*(batch.column(k) for k in (0, 1))):
+                    text = document.as_py()
+                    found = self.encoded(text)
+                    if found is None:
+                        continue
+                    n = len(found)
+                    offsets = found.offsets if listed else None
+                    total = max(-(-(n - content) // step), 0) + 1
+                    for k in range(total):
+                        first, stop = k * step, min(k * step + content, n)
+                        low, high = (found.token_to_chars(first)[0], found.token_to_chars(stop - 1)[1]) if n else (0, 0)
+                        own = text[low:high]
+                        spans = (_listed(text, [offsets[first:stop]]),) if listed else ()
+                        out.append((doc_id.as_py(), k, total, own, low, high, stop - first + SPECIALS, text[max(low - MARGIN, 0) : low], text[high : high + MARGIN], *spans))
+                        held += len(own)
+                        if held >= BATCH_CHARS or len(out) >= BATCH_ROWS:
+                            yield _batch(out)
+                            out, held = [], 0
+                    del found, offsets
+            if out:
+                yield _batch(out)
+
+        return rows.mapInArrow(run, f"{_CHUNK}, tokens array<{TOKEN}>" if listed else _CHUNK)
+
+
+def _listed(text: str, spans: list[list[tuple[int, int]]]) -> pa.Array:
+    """Lists of tokens at these places of a text."""
+    flat = [x for own in spans for x in own]
+    starts, ends = ([x[k] for x in flat] for k in (0, 1))
+    found = pa.StructArray.from_arrays([pa.array([text[a:b] for a, b in flat], pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], fields=list(_TOKENS.value_type))
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, spans))], pa.int32()), found).cast(_TOKENS)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows))
+    arrays = [pa.array(c, t) for c, t in zip(columns, _CHUNK_TYPES)]
+    names = list(_CHUNK_NAMES)
+    if len(columns) > len(arrays):
+        arrays.append(pa.concat_arrays(columns[-1]))
+        names.append("tokens")
+    return pa.RecordBatch.from_arrays(arrays, names)
+
+
+def tokenizer_tokens(path: str) -> TokenizerFile:
+    """Tokens of a tokenizer file."""
+    return TokenizerFile(path)
+
+
+#: Characters and rows of chunks that a Python task sends at once.
+BATCH_CHARS, BATCH_ROWS = 1 << 20, 4096
+_TOKENS = pa.list_(pa.struct([("word", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+_CHUNK_NAMES = ("doc_id", "chunk_id", "total_chunks", "text", "global_start", "global_end", "token_count", "before", "after")
+_CHUNK_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string())
+_CHUNK = "doc_id long, chunk_id int, total_chunks int, text string, global_start int, global_end int, token_count int, before string, after string"
 _LOADED: dict = {}
 
 
@@ -100,17 +171,20 @@ def stride(max_tokens: int, overlap_ratio: float) -> int:
     return int(max_tokens * overlap_ratio) if overlap_ratio > 0 else 0
 
 
-def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, tokens: Tokens = tokens) -> DataFrame:
+def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, tokens: Tokens = tokens, listed: bool = True) -> DataFrame:
     """``docs`` (doc_id, text) as chunks in order; a text without tokens is one empty chunk, one with null tokens is left out.
 
     Columns: doc_id, chunk_id, total_chunks, text, global_start, global_end, token_count (with the specials),
-    tokens (offsets in the document), and ``before`` and ``after``, the document's text on both sides.
+    tokens (offsets in the document), and ``before`` and ``after``, the document's text on both sides. Python makes no lists of tokens
+    that are not ``listed``; the column is then missing if the tokens are a tokenizer file's.
     """
     content = max_tokens - SPECIALS
     step = content - stride(max_tokens, overlap_ratio)
     if step < 1:
         raise ValueError("chunks must advance: less overlap or more tokens are needed")
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("document"))
+    if isinstance(tokens, TokenizerFile):
+        return tokens.chunks(rows, content, step, listed)
     rows = rows.withColumn("tokens", tokens(F.col("document")))
     total = F.when(F.size("tokens") >= 0, F.greatest(F.ceil((F.size("tokens") - content) / step), F.lit(0)).cast("int") + 1)
     # The outer form: no filter on the array is inferred, which would compute all tokens once more.

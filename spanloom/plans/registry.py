@@ -208,7 +208,7 @@ def chunk_spans_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
         import public_tokenizers
 
         path = str(public_tokenizers.path("byte_bpe_50k.json"))
-    return chunking.chunk_rows(_work(spark, sf_dir), tokens=chunking.tokenizer_tokens(path)).select(*_SPAN)
+    return chunking.chunk_rows(_work(spark, sf_dir), tokens=chunking.tokenizer_tokens(path), listed=False).select(*_SPAN)
 
 
 def clean_entities(spark: SparkSession, sf_dir: str) -> DataFrame:

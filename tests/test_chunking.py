@@ -109,3 +109,32 @@ def test_a_small_corpus_is_dealt_out(spark):
 
     assert tables.spread(spark.range(0, 10, 1, 2), 5).rdd.getNumPartitions() == 5
     assert tables.spread(spark.range(0, 10, 1, 9), 5).rdd.getNumPartitions() == 9
+
+
+def test_a_tokenizer_file_holds_few_chunks_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    monkeypatch.setattr(chunking, "BATCH_ROWS", 50)
+    taken = []
+    given = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(["some words, " * 40] * 300)], ["doc_id", "document"])
+    file = chunking.TokenizerFile(tokenizer_file())
+    encoded = file.encoded
+    file.encoded = lambda text: taken.append(1) or encoded(text)
+    batches = file.chunks(Frame(), 62, 62, listed=False)(iter([given]))
+    first = next(batches)
+    assert first.num_rows == 50 and len(taken) < 50
+    rest = list(batches)
+    assert all(b.num_rows <= 50 for b in rest) and len({d for b in [first, *rest] for d in b["doc_id"].to_pylist()}) == 300
+
+
+def test_chunks_without_listed_tokens_are_the_same(docs):
+    tokens = chunking.tokenizer_tokens(tokenizer_file())
+    whole = sorted(tuple(r) for r in chunking.chunk_rows(docs, 64, 0.25, tokens).drop("tokens").collect())
+    assert whole == sorted(tuple(r) for r in chunking.chunk_rows(docs, 64, 0.25, tokens, listed=False).collect())
+    plain = {r.doc_id: r.t for r in docs.where("text is not null").select("doc_id", tokens(F.col("text")).alias("t")).collect()}
+    for r in chunking.chunk_rows(docs, 64, 0.0, tokens).collect():
+        assert r.tokens == plain[r.doc_id][r.chunk_id * 62 :][:62]

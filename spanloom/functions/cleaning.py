@@ -67,24 +67,36 @@ def paired(text: Column) -> Column:
 
 
 def without_prefix(text: Column) -> Column:
-    """Abbreviations of places off the start, and punctuation off both ends, until nothing changes."""
+    """Abbreviations of places off the start, and punctuation off both ends, until nothing changes.
+
+    Where enough is left between them that no abbreviation could stand there, the ends know nothing of each other and each goes at once, in one
+    pass. Else they go round by round, until one of them is done.
+    """
     marks = char_class(PUNCTUATION)
     short = "|".join(a.replace(".", r"\.") for a in ABBREVIATIONS)
+    either = rf"(?:{marks}|(?U:\s))"
 
     def step(t: Column) -> Column:
         t = F.regexp_replace(t, rf"(?iu)^(?:{short})(?:(?U)\s+|\z)", "")
-        t = F.regexp_replace(t, r"(?U)^\s+|\s+\z", "")
-        return F.regexp_replace(t, rf"^{marks}+|{marks}+\z", "")
+        t = F.regexp_replace(t, r"(?U)^\s+|(?<!\s)\s+\z", "")
+        return F.regexp_replace(t, rf"^{marks}+|(?<!{marks}){marks}+\z", "")
 
+    # All rounds of one end, as long as the other is far away.
+    start = rf"^(?:(?iu:(?:{short})(?:(?U:\s)++|\z))?+(?U:\s)*+{marks}*+)++"
+    end = rf"(?<!{either}){either}++\z"
     # Each round but the first and the last takes an abbreviation off that stands before a blank or the end, or a
     # mark that stands beside a blank.
     turns = rf"(?iu)(?:{short})(?=(?U)\s|\z)|{marks}(?=(?U)\s)|(?<=(?U)\s){marks}"
 
-    def all_(t: Column) -> Column:
-        rounds = F.sequence(F.lit(1), F.regexp_count(t, F.lit(turns)) + 2)
-        return F.aggregate(rounds, t, lambda acc, _: step(acc))
+    def ended(t: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(t, end, ""), start, "")
+
+    def by_rounds(t: Column) -> Column:
+        count = lambda side: F.regexp_count(F.regexp_extract(t, side, 0), F.lit(turns)) + 2
+        return ended(F.aggregate(F.sequence(F.lit(1), F.least(count(start), count(end))), t, lambda acc, _: step(acc)))
 
-    return let(text, all_)
+    longest = max(map(len, ABBREVIATIONS))
+    return let(text, lambda t: let(ended(t), lambda done: F.when(F.length(done) > longest, done).when(~t.rlike(rf"(?U)[^\s{marks[1:-1]}]"), F.lit("")).otherwise(by_rounds(t))))
 
 
 def trimmed(text: Column) -> Column:

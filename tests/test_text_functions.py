@@ -130,3 +130,22 @@ def test_entities_of_other_types_stay(spark):
     df = spark.createDataFrame([("Ми", "MISC", 0, 2, "", "Ми", "р")], "text string, type string, start_pos int, end_pos int, left string, inside string, right string")
     row = expansion.expanded(df).first()
     assert (row.new_text, row.expand, row.reason, row.changed) == ("Ми", False, "type", False)
+
+
+def test_prefixes_of_long_lines_take_one_pass(spark):
+    """Marks and abbreviations inside a line are no reason for rounds over it."""
+    import time
+
+    texts = ["г. " + "слово, " * 20_000, "- " * 40_000, "г. " * 20_000 + "Москва", "Москва" + " ." * 40_000]
+    start = time.perf_counter()
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(cleaning.without_prefix(F.col("t")).alias("got")).collect()
+    assert [r.got for r in rows] == [("слово, " * 20_000).strip(", "), "", "Москва", "Москва"]
+    assert time.perf_counter() - start < 20
+
+
+def test_prefixes_where_the_ends_meet(spark):
+    marks = ["г.", "г.о.", "ст-ца", "с.", "п.", " ", ",", ".", "\t", "Уфа"]
+    r = random.Random(11)
+    texts = ["".join(r.choice(marks) for _ in range(r.randrange(14))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", cleaning.without_prefix(F.col("t")).alias("got")).collect()
+    assert [(r.t, r.got) for r in rows if r.got != prefix_by_hand(r.t)] == []

@@ -61,9 +61,14 @@ def _balanced(text: Column, opens: str, closes: str) -> Column:
 
 def paired(text: Column) -> Column:
     """Quotes and brackets in balance: kinds whose counts differ go, and of several pairs the outermost stays."""
-    for opens, closes in PAIRS:
-        text = _balanced(text, opens, closes)
-    return text
+
+    def balanced(text: Column) -> Column:
+        for opens, closes in PAIRS:
+            text = _balanced(text, opens, closes)
+        return text
+
+    # Most strings have none of them.
+    return let(text, lambda t: F.when(t.rlike(char_class("".join(PAIRS))), balanced(t)).otherwise(t))
 
 
 def without_prefix(text: Column) -> Column:

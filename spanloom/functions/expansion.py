@@ -44,11 +44,12 @@ def decision(config: ExpansionConfig = ExpansionConfig()) -> Column:
     opens_word = before.rlike(f"^{quotes}$") & ((F.length("left") == 1) | ((F.length("left") > 1) & second.rlike(f"^{breaks}$")))
     left = (F.length("left") > 0) & (before.rlike(LETTER) | opens_word)
     right = (F.length("right") > 0) & (after.rlike(LETTER) | after.rlike(f"^{quotes}$"))
-    word = F.trim(F.lower("text"), F.lit(MARK))
+    word = F.trim("text", F.lit(MARK))
+    stopped = (F.length(word) <= max(map(len, STOP_WORDS))) & F.lower(word).isin(*STOP_WORDS)
     capital = F.lit(config.require_capital) & F.col("type").isin("LOC", "PER") & right & after.rlike(LETTER) & ~after.rlike(r"^\p{Lu}$") & last.rlike(f"^{breaks}$")
     reason = (
         F.when(F.length("text") < config.min_token_length, "length")
-        .when(F.lit(config.enable_stopwords) & word.isin(*STOP_WORDS), "stopword")
+        .when(F.lit(config.enable_stopwords) & stopped, "stopword")
         .when(capital, "capital")
         .when(~(left | right), "no room")
     )

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Words, runs of blanks and single other characters; together they spell the text, and all but the blanks are tokens.
 PIECES = r"[\p{L}\p{N}_]+|\s+|[^\p{L}\p{N}_\s]"
 TOKENS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+#: A token with the blanks before it; nothing in it is given back, so that many of them in a row take no stack.
+_NEXT = r"(?:\s*+(?:[\p{L}\p{N}_]++|[^\p{L}\p{N}_\s]))"
 _BLANKS = " \t\n\x0b\f\r"
 _BLOCK = 128
 #: Tokens that a model adds around each chunk, and characters of context kept on both sides of a chunk.
@@ -63,6 +65,9 @@ def tokens(text: Column) -> Column:
     return let(words, located).cast(f"array<{TOKEN}>")
 
 
+_pattern_tokens = tokens
+
+
 class TokenizerFile:
     """Tokens of a tokenizer file (JSON of the tokenizers library), without special tokens: words are the characters that a token stands for.
 
@@ -185,6 +190,8 @@ def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("document"))
     if isinstance(tokens, TokenizerFile):
         return tokens.chunks(rows, content, step, listed)
+    if tokens is _pattern_tokens:
+        return _pattern_chunks(rows, content, step)
     rows = rows.withColumn("tokens", tokens(F.col("document")))
     total = F.when(F.size("tokens") >= 0, F.greatest(F.ceil((F.size("tokens") - content) / step), F.lit(0)).cast("int") + 1)
     # The outer form: no filter on the array is inferred, which would compute all tokens once more.
@@ -207,3 +214,65 @@ def chunk_rows(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.
         cut(doc, F.col("global_start") - MARGIN, F.col("global_start")).alias("before"),
         cut(doc, F.col("global_end"), F.col("global_end") + MARGIN).alias("after"),
     )
+
+
+def _pattern_chunks(rows: DataFrame, content: int, step: int) -> DataFrame:
+    """Chunks of ``rows`` (doc_id, document) by the pattern's tokens: a text is cut into blocks of ``step`` tokens with the blanks before them,
+    without a list of its tokens, and a chunk is a block and as many tokens of the next ones as chunks share. Neither text nor blocks go
+    through the explosion, so work grows with the text's length."""
+    from spanloom.functions.chars import let
+
+    shared, beside = content - step, -(-MARGIN // step)  # a block has a character for each token at least
+    ahead = -(-shared // step) + beside
+    # Blanks at the end are cut off first, as no token follows them.
+    blocks = F.regexp_extract_all(F.rtrim("document", F.lit(_BLANKS)), F.lit(rf"{_NEXT}{{1,{step}}}+"), F.lit(0))
+    rows = rows.select("doc_id", "document", let(blocks, lambda b: F.when(F.size(b) > 0, b).otherwise(F.array(F.lit("")))).alias("blocks"))
+    rows = rows.withColumn("ends", running_sums(F.transform("blocks", lambda b: F.length(b))))
+    rest = F.substring("document", F.element_at("ends", -1) + 1, F.lit(MARGIN))
+    total = F.size("blocks")
+    if shared:
+        number = (total - 1) * step + token_count(F.element_at("blocks", -1))
+        total = F.greatest(F.ceil((number - content) / step), F.lit(0)).cast("int") + 1
+    rows = rows.select("doc_id", "blocks", "ends", rest.alias("rest"), total.alias("total_chunks"), *([number.alias("number")] if shared else []))
+
+    def joined(first: Column, n: int) -> Column:
+        """Blocks from a place (from 0) on; there may be fewer, but not before the first."""
+        return F.coalesce(F.get("blocks", first), F.lit("")) if n == 1 else F.array_join(F.slice("blocks", F.greatest(first, F.lit(0)) + 1, F.least(first + n, F.lit(n))), "")
+
+    def chunk(k: Column) -> Column:
+        after = F.concat(joined(k + 1, ahead), "rest")
+        return F.struct(
+            k.alias("chunk_id"),
+            F.get("blocks", k).alias("block"),
+            (F.get("ends", k) - F.length(F.get("blocks", k))).alias("place"),
+            F.right(joined(k - beside, beside), F.lit(MARGIN)).alias("behind"),
+            (after if shared else F.left(after, F.lit(MARGIN))).alias("ahead"),
+        )
+
+    # The outer form: no filter on the array is inferred, which would compute all blocks once more.
+    rows = rows.select("doc_id", "total_chunks", *(["number"] if shared else []), F.explode_outer(F.transform(F.sequence(F.lit(0), F.col("total_chunks") - 1), chunk)).alias("c"))
+    rows = rows.where(F.col("c.chunk_id").isNotNull()).select("*", "c.*").withColumn("lead", F.regexp_extract("block", r"^\s*", 0))
+    own = F.substring(F.col("block"), F.length("lead") + 1, F.length("block"))
+    if shared:
+        rows = rows.withColumn("over", F.regexp_extract("ahead", rf"^{_NEXT}{{1,{shared}}}+", 0))
+        own = F.concat(own, "over")
+        after = F.substring(F.col("ahead"), F.length("over") + 1, F.lit(MARGIN))
+        count = F.least(F.lit(content), F.col("number") - F.col("chunk_id") * step)
+    else:
+        after = F.col("ahead")
+        count = F.when(F.col("chunk_id") < F.col("total_chunks") - 1, F.lit(content)).otherwise(token_count(F.col("block")))
+    start = F.col("place") + F.length("lead")
+    rows = rows.select("doc_id", "chunk_id", "total_chunks", own.alias("text"), start.alias("global_start"), (count + SPECIALS).alias("token_count"), F.right(F.concat("behind", "lead"), F.lit(MARGIN)).alias("before"), after.alias("after"))
+    moved = lambda t: F.struct(t["word"].alias("word"), (t["start"] + F.col("global_start")).alias("start"), (t["end"] + F.col("global_start")).alias("end"))
+    return rows.select(
+        "doc_id",
+        "chunk_id",
+        "total_chunks",
+        "text",
+        "global_start",
+        (F.col("global_start") + F.length("text")).alias("global_end"),
+        "token_count",
+        F.transform(tokens(F.col("text")), moved).alias("tokens"),
+        "before",
+        "after",
+    )

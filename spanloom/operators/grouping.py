@@ -14,11 +14,11 @@ ENTITY = "struct<text:string,type:string,confidence:double,positions:array<struc
 
 def bare(label: Column) -> Column:
     """A label's type, without its prefix."""
-    return F.regexp_replace(label, "^[BI]-", "")
+    return F.when(label.startswith("B-") | label.startswith("I-"), F.substring(label, F.lit(3), F.length(label))).otherwise(label)
 
 
 def entity_type(label: Column) -> Column:
-    known = F.when(label.rlike("^[BI]-") & bare(label).isin(*TYPES), bare(label))
+    known = F.when((label.startswith("B-") | label.startswith("I-")) & bare(label).isin(*TYPES), bare(label))
     return F.coalesce(known, F.lit(TYPES[-1]))
 
 
@@ -29,22 +29,34 @@ def groups(predictions: Column) -> Column:
     it if it has the opener's type and is I-, however far away, or is B- at most one character after.
     Other I- labels open nothing; O closes.
     """
-    none = F.array().cast(f"array<{PREDICTION}>")
+    from spanloom.functions.chars import let
 
-    def step(acc: Column, p: Column) -> Column:
-        group, label = acc["open"], p["label"]
-        begins, inside = label.startswith("B-"), label.startswith("I-")
-        near = begins & (p["start"] - F.try_element_at(group, F.lit(-1))["end"] <= 1)
-        goes_on = F.coalesce((F.size(group) > 0) & (label != "O") & (bare(label) == bare(F.get(group, F.lit(0))["label"])) & (inside | near), F.lit(False))
+    def seen(p: Column, i: Column) -> Column:
+        label = F.coalesce(p["label"], F.lit("O"))
+        inside, begins = label.startswith("I-"), label.startswith("B-")
         opens = (label != "O") & (begins | (p["idx"] == 0))
-        closed = F.when(F.size(group) > 0, F.array_append(acc["done"], group)).otherwise(acc["done"])
-        return F.struct(
-            F.when(goes_on, acc["done"]).otherwise(closed).alias("done"),
-            F.when(goes_on, F.array_append(group, p)).when(opens, F.array(p)).otherwise(none).alias("open"),
-        )
+        return F.struct(i.alias("i"), bare(label).alias("type"), inside.alias("inside"), begins.alias("begins"), F.coalesce(opens, F.lit(False)).alias("opens"), (p["idx"] == 0).alias("first"), p["start"].alias("start"), p["end"].alias("end"))
+
+    # Runs: an I- label of the type before it shares the lot of that one. A run may go on with the group before it, and else ends it; no
+    # list of groups grows step by step.
+    def runs(t: Column) -> Column:
+        before = lambda i: F.get(t, i - 1)
+        begins = lambda x, i: (i == 0) | F.coalesce(x["first"], F.lit(False)) | ~x["inside"] | (x["type"] != before(i)["type"])
+        near = lambda x, i: x["inside"] | (x["begins"] & (x["start"] - before(i)["end"] <= 1))
+        joins = lambda x, i: F.coalesce((i > 0) & (x["type"] == before(i)["type"]) & near(x, i), F.lit(False))
+        return F.transform(F.filter(t, begins), lambda x: F.struct(x["i"].alias("i"), x["opens"].alias("opens"), joins(x, x["i"]).alias("joins")))
+
+    def bounds(r: Column) -> Column:
+        return F.filter(r, lambda x, j: ~(x["joins"] & x["opens"] & F.coalesce(F.get(r, j - 1)["opens"], F.lit(False))))
+
+    def parts(p: Column) -> Column:
+        def cut(b: Column) -> Column:
+            end = lambda j: F.coalesce(F.get(b, j + 1)["i"], F.size(p))
+            return F.filter(F.transform(b, lambda x, j: F.when(x["opens"], F.slice(p, x["i"] + 1, end(j) - x["i"]))), lambda g: g.isNotNull())
+
+        return let(let(let(F.transform(p, seen), runs), bounds), cut)
 
-    start = F.struct(F.array().cast(f"array<array<{PREDICTION}>>").alias("done"), none.alias("open"))
-    return F.aggregate(predictions, start, step, lambda acc: F.when(F.size(acc["open"]) > 0, F.array_append(acc["done"], acc["open"])).otherwise(acc["done"]))
+    return let(predictions, parts)
 
 
 def merged(group: Column) -> Column:
@@ -52,11 +64,8 @@ def merged(group: Column) -> Column:
     from spanloom.functions.chars import let
 
     def entity(g: Column) -> Column:
-        text = F.aggregate(
-            g,
-            F.struct(F.lit("").alias("text"), F.lit(None).cast("int").alias("end")),
-            lambda acc, p: F.struct(F.concat(acc["text"], F.when(p["start"] > acc["end"], F.lit(" ")).otherwise(F.lit("")), F.replace(p["word"], F.lit(MARK), F.lit(""))).alias("text"), p["end"].alias("end")),
-        )["text"]
+        apart = lambda p, i: F.when(p["start"] > F.get(g, i - 1)["end"], F.lit(" ")).otherwise(F.lit(""))
+        text = F.aggregate(F.transform(g, lambda p, i: F.concat(apart(p, i), F.replace(p["word"], F.lit(MARK), F.lit("")))), F.lit(""), lambda acc, w: F.concat(acc, w))
         return F.struct(
             text.alias("text"),
             entity_type(F.get(g, F.lit(0))["label"]).alias("type"),
@@ -84,5 +93,8 @@ def entity_rows(grouped: DataFrame) -> DataFrame:
     rows = rows.where(F.col("ent_idx").isNotNull())  # outer, as no filter on the array is inferred then
     rows = rows.withColumn("start_pos", F.get("e.positions", F.lit(0))["start"]).withColumn("end_pos", F.try_element_at("e.positions", F.lit(-1))["end"])
     low, high = F.col("start_pos") - F.col("global_start") + F.col("shift"), F.col("end_pos") - F.col("global_start") + F.col("shift")
-    doc = F.col("around")
-    return rows.select("doc_id", "chunk_id", "ent_idx", "e.text", "e.type", "e.confidence", "e.positions", "start_pos", "end_pos", cut(doc, low - MARGIN, low).alias("left"), cut(doc, low, high).alias("inside"), cut(doc, high, high + MARGIN).alias("right"))
+    # The chunk is gone through once for all three.
+    first = F.greatest(low - MARGIN, F.lit(0))
+    rows = rows.withColumn("near", cut(F.col("around"), first, high + MARGIN)).withColumn("first", first)
+    near, low, high = F.col("near"), low - F.col("first"), high - F.col("first")
+    return rows.select("doc_id", "chunk_id", "ent_idx", "e.text", "e.type", "e.confidence", "e.positions", "start_pos", "end_pos", cut(near, low - MARGIN, low).alias("left"), cut(near, low, high).alias("inside"), cut(near, high, high + MARGIN).alias("right"))

@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A character of a word, as the tokens have it, and any other.
+WORD, OTHER = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
 PREDICTION = "struct<idx:int,label:string,score:double,word:string,start:int,end:int>"
 #: Words longer than this are predicted in pieces, the first marked as the beginning of a word.
 PIECE = 6
@@ -18,31 +20,76 @@ MARK = "▁"
 RULE_TYPES = ("PER", "LOC", "ORG", "DATE")
 
 
+def _kind(word: Column) -> Column:
+    """The type that the rule backend gives to a capitalised word."""
+    return F.element_at(F.array(*map(F.lit, RULE_TYPES)), F.length(word) % len(RULE_TYPES) + 1)
+
+
+def _cut(word: Column, start: Column, first: Column, further: Column) -> Column:
+    """Predictions for the pieces of a word: its first piece has the label ``first``, the others ``further``."""
+
+    def piece(k: Column) -> Column:
+        part = F.substring(word, k + 1, PIECE)
+        at = start + k
+        score = ((at * 31 + F.length(part) * 17) % 1000) / F.lit(1000.0)
+        label = F.when(k == 0, first).otherwise(further)
+        return F.struct(F.lit(0).alias("idx"), label.alias("label"), score.alias("score"), F.when(k == 0, F.concat(F.lit(MARK), part)).otherwise(part).alias("word"), at.alias("start"), (at + F.length(part)).alias("end"))
+
+    return F.transform(F.sequence(F.lit(0), F.length(word) - 1, F.lit(PIECE)), piece)
+
+
+def _ruled(chunks: DataFrame, words: Column) -> DataFrame:
+    """``chunks`` with the rule's predictions; ``words`` are the capitalised ones, as (word, start, before: the one that they follow, if at once)."""
+
+    def pieces(x: Column) -> Column:
+        own = _kind(x["word"])
+        first = F.when(F.coalesce(_kind(x["before"]) == own, F.lit(False)), F.concat(F.lit("I-"), own)).otherwise(F.concat(F.lit("B-"), own))
+        return _cut(x["word"], x["start"], first, F.concat(F.lit("I-"), own))
+
+    return chunks.withColumn("predictions", numbered(F.flatten(F.transform(words, pieces))))
+
+
 def rule(chunks: DataFrame) -> DataFrame:
     """A deterministic backend without a model: capitalised words, typed by length, scored by place."""
-    kind = lambda w: F.get(F.array(*map(F.lit, RULE_TYPES)), F.length(w) % 4)
-    tag = lambda w: F.when(w.rlike(r"^\p{Lu}"), kind(w))
+    capital = lambda w: w.rlike(r"^\p{Lu}")
+
+    def word(t: Column, i: Column) -> Column:
+        before = F.get("tokens", i - 1)["word"]
+        return F.struct(t["word"].alias("word"), (t["start"] - F.col("global_start")).alias("start"), F.when(capital(before), before).alias("before"))
+
+    return _ruled(chunks, F.filter(F.transform("tokens", word), lambda x: capital(x["word"])))
+
+
+#: A capitalised word, if there is one, and all up to the next one.
+_PART = rf"(?:\p{{Lu}}{WORD}*+)?+(?:{OTHER}++|(?!\p{{Lu}}){WORD}++)*+"
+
+
+def rule_of_text(chunks: DataFrame) -> DataFrame:
+    """What ``rule`` gives for the pattern's tokens, from the text alone: words that are not capitalised are never listed."""
+    from spanloom.functions.chars import let
+    from spanloom.operators.chunking import running_sums
+
+    parts = F.transform(
+        F.regexp_extract_all("text", F.lit(_PART), F.lit(0)),
+        lambda p: F.struct(F.regexp_extract(p, rf"^\p{{Lu}}{WORD}*+", 0).alias("word"), F.length(p).alias("size"), p.rlike(rf"^{WORD}++\s*+\z").alias("alone")),
+    )
 
-    def pieces(t: Column, i: Column) -> Column:
-        own = tag(t["word"])
-        before = tag(F.get("tokens", i - 1)["word"])
-        start = t["start"] - F.col("global_start")
+    def words(x: Column) -> Column:
+        def word(ends: Column) -> Column:
+            def one(p: Column, i: Column) -> Column:
+                last = F.get(x, i - 1)
+                return F.struct(p["word"].alias("word"), (F.get(ends, i) - p["size"]).alias("start"), F.when(last["alone"] & (last["word"] != ""), last["word"]).alias("before"))
 
-        def piece(k: Column) -> Column:
-            word = F.substring(t["word"], k + 1, PIECE)
-            at = start + k
-            label = F.concat(F.when((k > 0) | (F.coalesce(before, F.lit("")) == own), F.lit("I-")).otherwise(F.lit("B-")), own)
-            score = ((at * 31 + F.length(word) * 17) % 1000) / F.lit(1000.0)
-            return F.struct(F.lit(0).alias("idx"), label.alias("label"), score.alias("score"), F.concat(F.when(k == 0, F.lit(MARK)).otherwise(F.lit("")), word).alias("word"), at.alias("start"), (at + F.length(word)).alias("end")).cast(PREDICTION)
+            return F.filter(F.transform(x, one), lambda w: w["word"] != "")
 
-        return F.when(own.isNotNull(), F.transform(F.sequence(F.lit(0), F.length(t["word"]) - 1, F.lit(PIECE)), piece)).otherwise(F.array().cast(f"array<{PREDICTION}>"))
+        return let(running_sums(F.transform(x, lambda p: p["size"])), word)
 
-    return chunks.withColumn("predictions", numbered(F.flatten(F.transform("tokens", pieces))))
+    return _ruled(chunks, let(parts, words))
 
 
 def numbered(predictions: Column) -> Column:
     """With ``idx`` counted anew from 0."""
-    return F.transform(predictions, lambda p, i: F.struct(i.alias("idx"), *(p[c].alias(c) for c in ("label", "score", "word", "start", "end"))).cast(PREDICTION))
+    return F.transform(predictions, lambda p, i: F.struct(i.alias("idx"), *(p[c].alias(c) for c in ("label", "score", "word", "start", "end"))))
 
 
 def from_column(chunks: DataFrame, column: str) -> DataFrame:
@@ -118,5 +165,5 @@ def confident(tagged: DataFrame, min_confidence: float = 0.5) -> DataFrame:
 def shifted(tagged: DataFrame) -> DataFrame:
     """Offsets in the document instead of the chunk."""
     at = F.col("global_start")
-    moved = F.transform("predictions", lambda p: F.struct(p["idx"].alias("idx"), p["label"].alias("label"), p["score"].alias("score"), p["word"].alias("word"), (p["start"] + at).alias("start"), (p["end"] + at).alias("end")).cast(PREDICTION))
+    moved = F.transform("predictions", lambda p: F.struct(p["idx"].alias("idx"), p["label"].alias("label"), p["score"].alias("score"), p["word"].alias("word"), (p["start"] + at).alias("start"), (p["end"] + at).alias("end")))
     return tagged.withColumn("predictions", moved)

@@ -15,7 +15,9 @@ Tagger = Callable[[DataFrame], DataFrame]
 
 
 def tagged(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, tagger: Tagger = tagging.rule, tokens: chunking.Tokens = chunking.tokens) -> DataFrame:
-    """Chunk rows with predictions."""
+    """Chunk rows with predictions. The rule needs no list of the pattern's tokens."""
+    if tagger is tagging.rule and tokens is chunking.tokens:
+        tagger = tagging.rule_of_text
     return tagger(chunking.chunk_rows(docs, max_tokens, overlap_ratio, tokens))
 
 

@@ -31,32 +31,36 @@ def groups(predictions: Column) -> Column:
     """
     from spanloom.functions.chars import let
 
-    def seen(p: Column, i: Column) -> Column:
-        label = F.coalesce(p["label"], F.lit("O"))
-        inside, begins = label.startswith("I-"), label.startswith("B-")
-        opens = (label != "O") & (begins | (p["idx"] == 0))
-        return F.struct(i.alias("i"), bare(label).alias("type"), inside.alias("inside"), begins.alias("begins"), F.coalesce(opens, F.lit(False)).alias("opens"), (p["idx"] == 0).alias("first"), p["start"].alias("start"), p["end"].alias("end"))
+    return let(predictions, lambda p: let(let(let(F.transform(p, _seen), _runs), _bounds), lambda b: _parts(p, b)))
 
-    # Runs: an I- label of the type before it shares the lot of that one. A run may go on with the group before it, and else ends it; no
-    # list of groups grows step by step.
-    def runs(t: Column) -> Column:
-        before = lambda i: F.get(t, i - 1)
-        begins = lambda x, i: (i == 0) | F.coalesce(x["first"], F.lit(False)) | ~x["inside"] | (x["type"] != before(i)["type"])
-        near = lambda x, i: x["inside"] | (x["begins"] & (x["start"] - before(i)["end"] <= 1))
-        joins = lambda x, i: F.coalesce((i > 0) & (x["type"] == before(i)["type"]) & near(x, i), F.lit(False))
-        return F.transform(F.filter(t, begins), lambda x: F.struct(x["i"].alias("i"), x["opens"].alias("opens"), joins(x, x["i"]).alias("joins")))
 
-    def bounds(r: Column) -> Column:
-        return F.filter(r, lambda x, j: ~(x["joins"] & x["opens"] & F.coalesce(F.get(r, j - 1)["opens"], F.lit(False))))
+def _seen(p: Column, i: Column) -> Column:
+    """What the folding asks of a prediction."""
+    label = F.coalesce(p["label"], F.lit("O"))
+    inside, begins = label.startswith("I-"), label.startswith("B-")
+    first = F.coalesce(p["idx"] == 0, F.lit(False))
+    opens = (label != "O") & (begins | first)
+    return F.struct(i.alias("i"), bare(label).alias("type"), inside.alias("inside"), begins.alias("begins"), opens.alias("opens"), first.alias("first"), p["start"].alias("start"), p["end"].alias("end"))
 
-    def parts(p: Column) -> Column:
-        def cut(b: Column) -> Column:
-            end = lambda j: F.coalesce(F.get(b, j + 1)["i"], F.size(p))
-            return F.filter(F.transform(b, lambda x, j: F.when(x["opens"], F.slice(p, x["i"] + 1, end(j) - x["i"]))), lambda g: g.isNotNull())
 
-        return let(let(let(F.transform(p, seen), runs), bounds), cut)
+def _runs(t: Column) -> Column:
+    """Where runs begin: an I- label of the type before it shares the lot of that one. A run may go on with the group before it, and else
+    ends it; so no list of groups grows step by step."""
+    before = lambda i: F.get(t, i - 1)
+    begins = lambda x, i: (i == 0) | x["first"] | ~x["inside"] | (x["type"] != before(i)["type"])
+    near = lambda x, i: x["inside"] | (x["begins"] & (x["start"] - before(i)["end"] <= 1))
+    joins = lambda x, i: F.coalesce((i > 0) & (x["type"] == before(i)["type"]) & near(x, i), F.lit(False))
+    return F.transform(F.filter(t, begins), lambda x: F.struct(x["i"].alias("i"), x["opens"].alias("opens"), joins(x, x["i"]).alias("joins")))
 
-    return let(predictions, parts)
+
+def _bounds(runs: Column) -> Column:
+    """Runs that don't go on with a group."""
+    return F.filter(runs, lambda x, j: ~(x["joins"] & x["opens"] & F.coalesce(F.get(runs, j - 1)["opens"], F.lit(False))))
+
+
+def _parts(p: Column, bounds: Column) -> Column:
+    end = lambda j: F.coalesce(F.get(bounds, j + 1)["i"], F.size(p))
+    return F.filter(F.transform(bounds, lambda x, j: F.when(x["opens"], F.slice(p, x["i"] + 1, end(j) - x["i"]))), lambda g: g.isNotNull())
 
 
 def merged(group: Column) -> Column:
@@ -74,12 +78,15 @@ def merged(group: Column) -> Column:
         ).cast(ENTITY)
 
     ordered = F.transform(F.array_sort(F.transform(group, lambda p: F.struct(p["start"].alias("start"), p["idx"].alias("idx"), p.alias("p")))), lambda x: x["p"])
-    return let(ordered, entity)
+    return let(F.when(F.size(group) > 1, ordered).otherwise(group), entity)
 
 
 def with_entities(tagged: DataFrame, shortest: int = 2) -> DataFrame:
     """Chunk rows with ``entities``, those of fewer than ``shortest`` characters left out."""
-    made = tagged.withColumn("groups", groups(F.col("predictions")))
+    # The steps of ``groups`` in columns of their own: a list in a function's argument is copied whenever the function returns.
+    made = tagged.withColumn("__seen", F.transform("predictions", _seen))
+    made = made.withColumn("__runs", _runs(F.col("__seen"))).withColumn("__bounds", _bounds(F.col("__runs")))
+    made = made.withColumn("groups", _parts(F.col("predictions"), F.col("__bounds"))).drop("__seen", "__runs", "__bounds")
     return made.withColumn("entities", F.filter(F.transform("groups", merged), lambda e: F.length(e["text"]) >= shortest))
 
 

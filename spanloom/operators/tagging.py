@@ -25,28 +25,38 @@ def _kind(word: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, RULE_TYPES)), F.length(word) % len(RULE_TYPES) + 1)
 
 
-def _cut(word: Column, start: Column, first: Column, further: Column) -> Column:
-    """Predictions for the pieces of a word: its first piece has the label ``first``, the others ``further``."""
+def _ruled(chunks: DataFrame, words: Column, least: float | None = None) -> DataFrame:
+    """``chunks`` with the rule's predictions; ``words`` are the capitalised ones, as (word, start, before: the one that they follow, if at once).
 
-    def piece(k: Column) -> Column:
-        part = F.substring(word, k + 1, PIECE)
-        at = start + k
-        score = ((at * 31 + F.length(part) * 17) % 1000) / F.lit(1000.0)
-        label = F.when(k == 0, first).otherwise(further)
-        return F.struct(F.lit(0).alias("idx"), label.alias("label"), score.alias("score"), F.when(k == 0, F.concat(F.lit(MARK), part)).otherwise(part).alias("word"), at.alias("start"), (at + F.length(part)).alias("end"))
-
-    return F.transform(F.sequence(F.lit(0), F.length(word) - 1, F.lit(PIECE)), piece)
-
-
-def _ruled(chunks: DataFrame, words: Column) -> DataFrame:
-    """``chunks`` with the rule's predictions; ``words`` are the capitalised ones, as (word, start, before: the one that they follow, if at once)."""
+    With ``least`` only those of that score or more are made, at their places in the document.
+    """
+    shift = 0 if least is None else F.col("global_start")
 
     def pieces(x: Column) -> Column:
-        own = _kind(x["word"])
-        first = F.when(F.coalesce(_kind(x["before"]) == own, F.lit(False)), F.concat(F.lit("I-"), own)).otherwise(F.concat(F.lit("B-"), own))
-        return _cut(x["word"], x["start"], first, F.concat(F.lit("I-"), own))
-
-    return chunks.withColumn("predictions", numbered(F.flatten(F.transform(words, pieces))))
+        word, own = x["word"], x["kind"]
+        size = lambda k: F.least(F.length(word) - k, F.lit(PIECE))
+        score = lambda k: (((x["start"] + k) * 31 + size(k) * 17) % 1000) / F.lit(1000.0)
+        places = F.sequence(F.lit(0), F.length(word) - 1, F.lit(PIECE))
+        if least is not None:
+            places = F.filter(places, lambda k: score(k) >= least)
+
+        def piece(k: Column) -> Column:
+            at = x["start"] + k + shift
+            follows = (k > 0) | F.coalesce(x["before"] == own, F.lit(False))
+            part = F.substring(word, k + 1, F.lit(PIECE))
+            return F.struct(
+                F.lit(0).alias("idx"),
+                F.concat(F.when(follows, F.lit("I-")).otherwise(F.lit("B-")), own).alias("label"),
+                score(k).alias("score"),
+                F.when(k == 0, F.concat(F.lit(MARK), part)).otherwise(part).alias("word"),
+                at.alias("start"),
+                (at + size(k)).alias("end"),
+            )
+
+        return F.transform(places, piece)
+
+    kinds = F.transform(words, lambda x: F.struct(x["word"].alias("word"), x["start"].alias("start"), _kind(x["word"]).alias("kind"), _kind(x["before"]).alias("before")))
+    return chunks.withColumn("predictions", numbered(F.flatten(F.transform(kinds, pieces))))
 
 
 def rule(chunks: DataFrame) -> DataFrame:
@@ -64,27 +74,24 @@ def rule(chunks: DataFrame) -> DataFrame:
 _PART = rf"(?:\p{{Lu}}{WORD}*+)?+(?:{OTHER}++|(?!\p{{Lu}}){WORD}++)*+"
 
 
-def rule_of_text(chunks: DataFrame) -> DataFrame:
-    """What ``rule`` gives for the pattern's tokens, from the text alone: words that are not capitalised are never listed."""
-    from spanloom.functions.chars import let
+def rule_of_text(chunks: DataFrame, least: float | None = None) -> DataFrame:
+    """What ``rule`` gives for the pattern's tokens, from the text alone: words that are not capitalised are never listed. With ``least`` what
+    ``confident`` and ``shifted`` make of it, at once."""
     from spanloom.operators.chunking import running_sums
 
-    parts = F.transform(
-        F.regexp_extract_all("text", F.lit(_PART), F.lit(0)),
-        lambda p: F.struct(F.regexp_extract(p, rf"^\p{{Lu}}{WORD}*+", 0).alias("word"), F.length(p).alias("size"), p.rlike(rf"^{WORD}++\s*+\z").alias("alone")),
-    )
-
-    def words(x: Column) -> Column:
-        def word(ends: Column) -> Column:
-            def one(p: Column, i: Column) -> Column:
-                last = F.get(x, i - 1)
-                return F.struct(p["word"].alias("word"), (F.get(ends, i) - p["size"]).alias("start"), F.when(last["alone"] & (last["word"] != ""), last["word"]).alias("before"))
-
-            return F.filter(F.transform(x, one), lambda w: w["word"] != "")
+    columns = chunks.columns
+    # Step by step in columns of their own, as a list in a function's argument is copied whenever the function returns.
+    rows = chunks.withColumn("__part", F.regexp_extract_all("text", F.lit(_PART), F.lit(0)))
+    rows = rows.withColumn("__end", running_sums(F.transform("__part", lambda p: F.length(p))))
+    rows = rows.withColumn("__word", F.transform("__part", lambda p: F.regexp_extract(p, rf"^\p{{Lu}}{WORD}*+", 0)))
 
-        return let(running_sums(F.transform(x, lambda p: p["size"])), word)
+    def word(w: Column, i: Column) -> Column:
+        last, part = F.get("__word", i - 1), F.get("__part", i - 1)
+        alone = (last != "") & F.substring(part, F.length(last) + 1, F.length(part)).rlike(r"^\s*+\z")
+        return F.when(w != "", F.struct(w.alias("word"), (F.get("__end", i) - F.length(F.get("__part", i))).alias("start"), F.when(alone, last).alias("before")))
 
-    return _ruled(chunks, let(parts, words))
+    words = F.filter(F.transform("__word", word), lambda w: w.isNotNull())
+    return _ruled(rows, words, least).select(*columns, "predictions")
 
 
 def numbered(predictions: Column) -> Column:

@@ -23,7 +23,14 @@ def tagged(docs: DataFrame, max_tokens: int = 512, overlap_ratio: float = 0.0, t
 
 def grouped(docs: DataFrame, min_confidence: float = 0.5, **chunked) -> DataFrame:
     """Chunk rows with entities."""
-    return grouping.with_entities(tagging.shifted(tagging.confident(tagged(docs, **chunked), min_confidence)))
+    return grouping.with_entities(kept(docs, min_confidence, **chunked))
+
+
+def kept(docs: DataFrame, min_confidence: float = 0.5, max_tokens: int = 512, overlap_ratio: float = 0.0, tagger: Tagger = tagging.rule, tokens: chunking.Tokens = chunking.tokens) -> DataFrame:
+    """Chunk rows with the predictions of that score or more, at their places in the document."""
+    if tagger is tagging.rule and tokens is chunking.tokens:
+        return tagging.rule_of_text(chunking.chunk_rows(docs, max_tokens, overlap_ratio, tokens), min_confidence)
+    return tagging.shifted(tagging.confident(tagged(docs, max_tokens, overlap_ratio, tagger, tokens), min_confidence))
 
 
 def final_entities(entities: DataFrame, config: ExpansionConfig = ExpansionConfig(), unicode: bool = True) -> DataFrame:

@@ -138,3 +138,18 @@ def test_chunks_without_listed_tokens_are_the_same(docs):
     plain = {r.doc_id: r.t for r in docs.where("text is not null").select("doc_id", tokens(F.col("text")).alias("t")).collect()}
     for r in chunking.chunk_rows(docs, 64, 0.0, tokens).collect():
         assert r.tokens == plain[r.doc_id][r.chunk_id * 62 :][:62]
+
+
+@pytest.mark.parametrize(("most", "overlap"), [(512, 0.0), (8, 0.0), (12, 0.25), (12, 0.8)])
+def test_blocks_give_the_chunks_that_lists_of_tokens_give(docs, most, overlap):
+    listed = lambda text: chunking.tokens(text)  # noqa: E731  any other way than the pattern's own goes by lists
+    ways = [chunking.chunk_rows(docs, most, overlap, *way) for way in ((), (listed,))]
+    got = [sorted((r.asDict(recursive=True) for r in way.collect()), key=lambda r: (r["doc_id"], r["chunk_id"])) for way in ways]
+    assert got[0] == got[1]
+
+
+def test_chunks_do_not_carry_the_whole_text(docs):
+    rows = chunking.chunk_rows(docs, 512)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    carried = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert carried and not any("document" in line or "tokens" in line for line in carried)

@@ -97,3 +97,22 @@ def test_model_backend_keeps_going(spark):
 def test_predictions_from_a_column(spark, column):
     df = spark.createDataFrame([(1, column)], f"doc_id long, given {P}")
     assert len(tagging.from_column(df, "given").first().predictions) == len(column or [])
+
+
+def test_the_rule_needs_no_list_of_tokens(spark):
+    from spanloom.operators import chunking
+
+    r = random.Random(5)
+    texts = ["".join(r.choice(["Мир", "Aлександрия", "дом", "x1", " ", " ", "\n", ".", "-", "É", "9A", "_", "Ǆ", "😀"]) for _ in range(r.randrange(60))) for _ in range(400)]
+    chunks = chunking.chunk_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 12, 0.25)
+    both = [sorted((x.doc_id, x.chunk_id, x.predictions) for x in way.select("doc_id", "chunk_id", "predictions").collect()) for way in (tagging.rule(chunks), tagging.rule_of_text(chunks))]
+    assert both[0] == both[1] and any(p for *_, p in both[0])
+    kept = [sorted((x.doc_id, x.chunk_id, x.predictions) for x in way.select("doc_id", "chunk_id", "predictions").collect()) for way in (tagging.shifted(tagging.confident(tagging.rule(chunks), 0.5)), tagging.rule_of_text(chunks, 0.5))]
+    assert kept[0] == kept[1] and any(p for *_, p in kept[0])
+
+
+def test_columns_and_one_expression_fold_alike(spark):
+    given = [made(c) for c in CASES]
+    df = spark.createDataFrame(list(enumerate(given)), f"n int, predictions {P}")
+    rows = {r.n: [[p["idx"] for p in g] for g in r.groups] for r in grouping.with_entities(df, 0).collect()}
+    assert [rows[n] for n in range(len(given))] == list(CASES.values())
